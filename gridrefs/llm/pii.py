@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import let
+
 #: Characters beside a span in which context words are looked for.
 NEAR = 48
 
@@ -101,12 +103,15 @@ def _spans(kind: Kind, text: Column) -> Column:
     matches, pieces = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), F.split(text, kind.pattern, -1)
     # For each match: length of the piece before it, the match, and what stands near it.
     near = F.lit(NEAR)
-    parts = F.transform(
-        matches,
-        lambda m, i: F.struct(
-            F.length(F.get(pieces, i)).cast("bigint").alias("gap"),
-            m.alias("match"),
-            F.lower(F.concat(F.right(F.get(pieces, i), near), F.lit(" "), F.left(F.get(pieces, i + 1), near))).alias("near"),
+    parts = let(
+        pieces,
+        lambda p: F.transform(
+            matches,
+            lambda m, i: F.struct(
+                F.length(F.get(p, i)).cast("bigint").alias("gap"),
+                m.alias("match"),
+                F.lower(F.concat(F.right(F.get(p, i), near), F.lit(" "), F.left(F.get(p, i + 1), near))).alias("near"),
+            ),
         ),
     )
     first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))

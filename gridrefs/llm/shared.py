@@ -73,6 +73,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it (lambdas too)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def join_unique(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
     """Join ``rows`` to ``groups``, which has one row for each key with its number of rows in ``size``.
 
