@@ -14,13 +14,11 @@ def attribute(name: str, detail: str = "detail", base: str = "base") -> Column:
 
 
 def set_attribute(projects: DataFrame, name: str, value: str, chosen: DataFrame | None = None, config: str = "base") -> DataFrame:
-    """Set a top-level attribute of a JSON config for all or chosen projects; True, False and None are typed."""
-    given = F.from_json(config, "map<string,string>")
-    # Strings keep their quotes, other values their JSON text, so that only this attribute changes.
-    quoted = lambda k, v: F.when(F.get_json_object(F.col(config), F.concat(F.lit("$."), k)).isNull(), "null").when(v.rlike(r"^(-?[0-9.]+|true|false|[\[{].*)$"), v).otherwise(F.to_json(F.array(v)).substr(F.lit(2), F.length(F.to_json(F.array(v))) - 2))
-    kept = F.map_filter(given, lambda k, v: k != name)
-    entries = F.transform(F.map_entries(kept), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), quoted(e["key"], e["value"])))
-    new = F.concat(F.lit("{"), F.array_join(F.concat(entries, F.array(F.concat(F.lit(f'"{name}":'), typed_literal(F.lit(value))))), ","), F.lit("}"))
+    """Set a top-level, scalar attribute of a JSON config for all or chosen projects; True, False and None are typed."""
+    scalar = r'(?:"(?:[^"\\]|\\.)*"|[^,{}\[\]"]+)'
+    rest = F.regexp_replace(config, rf'"{name}"\s*:\s*{scalar}\s*,?\s*', "")
+    body = F.regexp_replace(F.trim(rest), r",?\s*\}$", "")
+    new = F.concat(body, F.when(body == "{", "").otherwise(","), F.lit(f'"{name}":'), typed_literal(F.lit(value)), F.lit("}"))
     if chosen is None:
         return projects.withColumn(config, new)
     marked = projects.join(chosen.select("project_id", F.lit(True).alias("__set")).distinct(), "project_id", "left")

@@ -122,7 +122,9 @@ def growing_box(control: DataFrame, shapes: DataFrame, top: int = 100) -> DataFr
     """
     start = F.greatest(F.lit(2), F.least(F.array_max("shape"), F.lit(top)))
     cells = control.join(F.broadcast(shapes), ["dataset", "var"])
-    return cells.groupBy("dataset", "var").agg(F.max(F.when(~F.isnan("value"), F.least(box_level(F.col("idx"), F.col("shape"), top), start))).alias("level"))
+    level = cells.select("dataset", "var", "value", box_level(F.col("idx"), F.col("shape"), top).alias("level"), start.alias("start"))
+    seen = F.when(~F.isnan("value") & F.col("level").isNotNull(), F.least("level", "start"))
+    return level.groupBy("dataset", "var").agg(F.max(seen).alias("level"))
 
 
 def compare_meta(test: DataFrame, control: DataFrame) -> DataFrame:
