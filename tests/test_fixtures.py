@@ -1,0 +1,231 @@
+"""Array cases with worked-out results: references, combining, comparing, rechunking, tracking."""
+
+import json
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from gridrefs.functions import text as tx
+from gridrefs.operators import attrs as at
+from gridrefs.operators import combine as cb
+from gridrefs.operators import compare as cp
+from gridrefs.operators import rechunk as rc
+from gridrefs.operators import refs as rf
+from gridrefs.operators import report as rp
+from gridrefs.operators import status as ss
+from gridrefs.operators import udf
+from gridrefs.plans import workloads
+from gridrefs.sources import readers, writers
+
+
+def document(i: int) -> str:
+    """One file of a dataset with a time axis: rain on (time, lat, lon), an inline height, u10 with a digit."""
+    array = lambda shape, chunks, dtype="<f8": json.dumps({"chunks": chunks, "shape": shape, "dtype": dtype})
+    return json.dumps(
+        {
+            "version": 1,
+            "refs": {
+                ".zgroup": '{"zarr_format":2}',
+                ".zattrs": json.dumps({"Conventions": "DW-0.1", "time_start": f"2000-01-0{i + 1}", "run": f"r{i % 2}"}),
+                "time/.zarray": array([1], [1], "<i8"),
+                "time/.zattrs": '{"_ARRAY_DIMENSIONS":["time"],"units":"days"}',
+                "time/0": [f"/d/file{i}.nc", 100, 8],
+                "rain/.zarray": array([1, 10, 20], [1, 10, 20]),
+                "rain/.zattrs": '{"_ARRAY_DIMENSIONS":["time","lat","lon"]}',
+                "rain/0.0.0": [f"/d/file{i}.nc", 400, 1600],
+                "u10/.zarray": array([1, 4], [1, 2]),
+                "u10/.zattrs": '{"_ARRAY_DIMENSIONS":["time","x"]}',
+                "u10/0.0": [f"/d/file{i}.nc", 2000, 16],
+                "u10/0.1": [f"/d/file{i}.nc", 2016, 16],
+                "height/.zarray": array([1], [1], "<i8"),
+                "height/.zattrs": '{"_ARRAY_DIMENSIONS":[]}',
+                "height/0": "base64:AgAAAAAAAAA=",
+            },
+        }
+    )
+
+
+@pytest.fixture(scope="module")
+def rows(spark, tmp_path_factory):
+    top = tmp_path_factory.mktemp("docs")
+    for i in range(8):
+        (top / f"file{i}.json").write_text(document(i))
+    raw = readers.read_reference_documents(spark, str(top))
+    return raw.select(F.lit("p").alias("project_id"), F.regexp_extract("uri", r"file(\d+)", 1).cast("int").alias("file_ord"), "key", "value").cache()
+
+
+def test_parse_and_scan(rows):
+    refs = rf.parse_refs(rows)
+    assert refs.count() == 8 * 5
+    assert {r["var"] for r in refs.select("var").distinct().collect()} == {"time", "rain", "u10", "height"}
+    one = rf.file_summary(refs).where("file_ord = 3").first()
+    assert (one["bytes"], one["chunks"]) == (8 + 1600 + 32, 5)
+    scan = rf.project_scan(refs).first()
+    assert scan["n_files"] == 8 and scan["avg_cpf"] == 5 and scan["output_type"] == "json"
+    assert scan["cloud_bytes"] == 5 * 8 * 167
+
+
+def test_combine(spark, rows):
+    same = spark.createDataFrame([("p", "height")], "project_id string, var string")
+    done = workloads.combine(rows, same)
+    got = {(r["var"], tuple(r["coords"])): r for r in done.refs.collect()}
+    assert len(got) == 8 + 8 + 16 + 1
+    assert got["rain", (5, 0, 0)]["path"] == "/d/file5.nc"
+    assert got["u10", (7, 1)]["offset"] == 2016
+    assert bytes(got["height", (0,)]["inline"])[0] == 2
+    assert done.overlaps.count() == done.chunk_errors.count() == done.unit_errors.count() == 0
+    assert done.meta.where("var = 'rain'").first()["shape"] == [8, 10, 20]
+    attrs = {r["attr"]: r["value"] for r in done.attrs.collect()}
+    assert attrs == {"Conventions": "DW-0.1", "time_start": "2000-01-01", "run": at.SEE_FILES}
+
+
+def test_inline_values(rows):
+    values = udf.decode_chunks(rf.parse_refs(rows), rf.parse_var_meta(rows)).first()["values"]
+    assert values == [2.0]
+
+
+def test_keep_variables_with_their_dimensions(spark, rows):
+    meta = rf.parse_var_meta(rows)
+    kept = rf.keep_variables(meta, spark.createDataFrame([("p", "rain")], "project_id string, var string"))
+    assert {r["var"] for r in kept.collect()} == {"rain", "time"}
+
+
+def test_documents_and_store(spark, rows, tmp_path):
+    refs = rf.parse_refs(rows).drop("file_ord").dropDuplicates(["project_id", "var", "coords"])
+    doc = json.loads(writers.documents(refs).first()["value"])
+    assert doc["refs"]["height/0"] == "base64:AgAAAAAAAAA=" and doc["refs"]["u10/0.1"][1:] == [2016, 16]
+    writers.write_store(refs, str(tmp_path / "store"))
+    assert writers.read_store(spark, str(tmp_path / "store")).count() == refs.count()
+
+
+def test_three_dimensional_placement(spark):
+    corners = [("p", f, d, float((f >> k) & 1) * 10) for f in range(8) for k, d in enumerate(("lon", "lat", "time"))]
+    placed = cb.grid_placement(spark.createDataFrame(corners, "project_id string, file_ord int, dim string, first double"))
+    assert {(r["file_ord"], r["dim"]): r["place"] for r in placed.collect()}[5, "lon"] == 1
+    assert cb.grid_holes(placed).count() == 0
+    assert cb.grid_holes(placed.where("file_ord <> 3")).first()["cells"] == 8
+
+
+def test_validate(spark):
+    rows = [("d", "rain", [t, y], t * 100.0 + y) for t in range(6) for y in range(9)]
+    test = spark.createDataFrame(rows, "dataset string, var string, idx array<int>, value double")
+    assert workloads.validate(test, test).first()["worst"] == "Success"
+    off = test.withColumn("value", F.when((F.get("idx", 0) == 4) & (F.get("idx", 1) == 4), 500.0).otherwise(F.col("value")))
+    assert workloads.validate(test, off).first()["worst"] == "Fatal-data_errors"
+    assert workloads.validate(test, off.where("idx[0] < 5")).first()["worst"] == "Fatal-size_errors"
+
+
+def test_nan_and_tolerance(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, nan, True), (1.0, nan, False), (1.0, 1.0 + 5e-6, True), (1.0, 1.1, False), (0.0, 0.05, True)], "c double, t double, ok boolean")
+    got = df.select(tx.close(F.col("c"), F.col("t"), F.when(F.col("t") == 0.05, 0.05).otherwise(0.0)).alias("got"), "ok").collect()
+    assert [r["got"] for r in got] == [r["ok"] for r in got]
+
+
+def test_alignment_is_within_tolerance(spark):
+    test = spark.createDataFrame([("d", "x", i, v) for i, v in enumerate((-5.0, 0.0, 1e-9, 3.0, 3.00001, 7.0))], "dataset string, dim string, pos int, value double")
+    samples = spark.createDataFrame([("d", "a", "x", 3.00001, 2), ("d", "b", "x", 7.00000001, 1), ("d", "c", "x", 7.00000001, 2), ("d", "e", "x", 0.0, 3)], "dataset string, sample string, dim string, first double, length int")
+    got = {r["sample"]: r["start"] for r in cp.align(samples, test).collect()}
+    assert got == {"a": 3, "b": None, "c": 5, "e": 1}
+
+
+def test_shifted_cells(spark):
+    cells = spark.createDataFrame([("d", "v", [t, y], float(t * 10 + y)) for t in range(4) for y in range(4)], "dataset string, var string, idx array<int>, value double")
+    window = spark.createDataFrame([("d", [1, 2], [2, 2])], "dataset string, starts array<int>, lengths array<int>")
+    got = {tuple(r["idx"]): r["value"] for r in cp.shift_cells(cells, window).collect()}
+    assert got == {(0, 0): 12.0, (0, 1): 13.0, (1, 0): 22.0, (1, 1): 23.0}
+
+
+def test_all_nan_box(spark):
+    cells = spark.createDataFrame([("d", "v", [i], float("nan")) for i in range(20)], "dataset string, var string, idx array<int>, value double")
+    shapes = spark.createDataFrame([("d", "v", [20])], "dataset string, var string, shape array<int>")
+    assert cp.growing_box(cells, shapes).first()["level"] is None
+    one = cells.withColumn("value", F.when(F.get("idx", 0) == 10, 1.0).otherwise(F.col("value")))
+    assert cp.growing_box(one, shapes).first()["level"] == 10
+
+
+def test_rechunk_twice_is_the_same(spark):
+    cells = spark.createDataFrame([("d", "v", [t, y], float(t * 10 + y)) for t in range(6) for y in range(8)], "dataset string, var string, idx array<int>, value double")
+    chunks = rc.to_chunks(cells, [3, 4])
+    assert chunks.count() == 4
+    other = rc.rechunk(chunks, [2, 8])
+    assert other.count() == 3
+    back = rc.rechunk(other, [3, 4])
+    key = lambda df: sorted((tuple(r["chunk"]), tuple(r["values"])) for r in df.collect())
+    assert key(back) == key(chunks)
+    assert sorted((tuple(r["idx"]), r["value"]) for r in rc.to_cells(other).collect()) == sorted((tuple(r["idx"]), r["value"]) for r in cells.collect())
+
+
+def test_merged_inline_chunks(spark):
+    rows = [("p", "time", [i], None, None, None, bytes([i])) for i in range(8)]
+    refs = spark.createDataFrame(rows, "project_id string, var string, coords array<int>, path string, offset long, size long, inline binary")
+    got = {r["coords"][0]: bytes(r["inline"]) for r in rf.merge_inline(refs, ideal=2).collect()}
+    assert got == {0: bytes(range(4)), 1: bytes(range(4, 8))}
+
+
+def test_report_verdicts_and_bypass(spark):
+    schema = "project_id string, part string, section string, error string, parent string, name string, skipped boolean"
+    rows = [("a", "data", "variables", "growbox", None, "v", False), ("a", "data", "dimensions", "dim_errors", None, "x", False), ("b", "metadata", "attributes", "missing", "global", "title", False), ("c", "metadata", "attributes", "ignored", "global", "title", False)]
+    report = spark.createDataFrame(rows, schema)
+    projects = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "project_id string")
+    assert {r["project_id"]: r["worst"] for r in rp.worst_errors(report, projects).collect()} == {"a": "Fatal-dim_errors", "b": "Warn-global_title_missing", "c": "Success", "d": "Success"}
+    known = spark.createDataFrame([("dimensions", "dim_errors", None, "x"), ("attributes", None, "global", "skip_all")], "section string, error string, parent string, name string")
+    assert {r["project_id"]: r["worst"] for r in rp.worst_errors(rp.bypass(report, known), projects).collect()}["a"] == "Warn-growbox"
+    assert rp.nest(report).count() == 3
+
+
+def test_status_expression(spark):
+    log = [("g", p, 1, "scan", s, None, "") for p, s in (("1", "Success"), ("2", "Warn-a"), ("3", "Warn-b"), ("4", "(P>VK)Fatal-x"), ("5", "Warn"))]
+    df = spark.createDataFrame(log, "group_id string, project_id string, line_no long, phase string, status string, ts timestamp, job_id string")
+    pick = lambda e: {r["project_id"] for r in ss.select_by_status(ss.last_status(df), "scan", e).collect()}
+    assert pick("Any") == {"1", "2", "3", "4", "5"}
+    assert pick("Warn") == {"5"}
+    assert pick("Warn-a") == {"2"}
+    assert pick("!Fatal & !Success") == {"2", "3", "5"}
+    assert pick("!Warn") == {"1", "4"}
+
+
+def test_manifest_and_log(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('proj_code,pattern,updates,removals\np one,"/a/*.nc,/b/*.nc",u,r,rain,snow\n123,/c/*.nc,,\nq[1],/d,,\n')
+    got = {r["project_id"]: r for r in readers.read_manifest(spark, str(tmp_path / "m.csv"), (("/a/", "/z/"),)).collect()}
+    assert got["pone"]["pattern"] == "/z/*.nc,/b/*.nc" and got["pone"]["keep"] == ["rain", "snow"] and got["pone"]["problem"] is None
+    assert got["123"]["problem"] == "numeric" and got["q[1]"]["problem"] == "characters"
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "p1.csv").write_text("scan,Pending,10:00 01/02/24,j\nscan,Success,10:00 01/02/24,j\n")
+    last = ss.last_status(readers.read_status_log(spark, str(tmp_path / "log"), "g")).first()
+    assert (last["project_id"], last["status"]) == ("p1", "Success")
+    lines = spark.createDataFrame([Row(project_id="p", phase="scan", status="a,b\nc", ts=last["ts"], job_id="j")])
+    writers.append_status(lines, str(tmp_path / "out"))
+    assert spark.read.csv(str(tmp_path / "out")).first()[2] == "a.b.c"
+
+
+def test_files_and_configs(spark, tmp_path):
+    for n in ("b.nc", "a.nc"):
+        (tmp_path / n).write_text("x")
+    files = readers.list_files(spark, "p", str(tmp_path / "*.nc")).orderBy("file_ord").collect()
+    assert [f["uri"][-4:] for f in files] == ["a.nc", "b.nc"] and all(f["known"] for f in files)
+    with pytest.raises(Exception):
+        readers.list_files(spark, "p", str(tmp_path / "*.tif"))
+    conf = readers.with_defaults(spark.createDataFrame([("p", '{"remote":"true"}')], "project_id string, value string")).first()["conf"]
+    assert conf["remote"] == "true" and conf["version_no"] == "1.1"
+
+
+def test_user_functions(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "project_id string, v long")
+    total = udf.apply_to_projects(df, lambda p: p.groupby("project_id", as_index=False)["v"].sum(), "project_id string, v long")
+    assert {r["project_id"]: r["v"] for r in total.collect()} == {"a": 3, "b": 5}
+    assert udf.apply_to_rows(df, lambda p: p.assign(v=p.v + 1), "project_id string, v long").agg(F.sum("v")).first()[0] == 11
+    assert udf.before_completion(df, lambda d: d.where("v > 1")).count() == 2
+
+
+def test_scalar_functions(spark):
+    one = spark.range(1)
+    get = lambda c: one.select(c.alias("x")).first()["x"]
+    assert [get(tx.format_bytes(F.lit(v))) for v in (0.0, 1000.0, 1001.0, 447.1e9)] == ["0.00 B", "1000.00 B", "1.00 KB", "447.10 GB"]
+    assert get(tx.parse_bytes(F.lit("447.10 GB"))) == pytest.approx(447.1e9)
+    assert get(tx.seconds_allowed(F.lit("15:30"))) == 930 and get(tx.seconds_allowed(F.lit(""))) == 10_000_000_000
+    assert [get(tx.format_minutes(F.lit(v))) for v in (0, 59, 600)] == ["01:00", "01:00", "11:00"]
+    assert get(tx.fit_width(F.lit("abcdef"), 5, dots=True)) == "ab..." and get(tx.fit_width(F.lit("ab"), 4)) == "ab  "
+    assert [get(tx.closest_divisor(F.lit(n), F.lit(t))) for n, t in ((12, 5.0), (7, 3.0), (100, 9.0))] == [4, 1, 10]
+    assert get(tx.revision(F.lit("kerchunk"), F.lit(True), F.lit("1.2"))) == "kr1.2" and get(tx.next_minor(F.lit("1.9"))) == "1.10"
