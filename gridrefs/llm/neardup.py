@@ -9,9 +9,10 @@ words of both whole texts; a pair is linked if 100 * intersection >= 75 * union.
 Documents with equal sets are folded to one representative before anything is compared. Within a
 band's bucket all members are compared with the smallest member; members of one component need
 no more comparing, since a further link can't change it. Only pairs of different components that
-share a bucket are left; they are compared by signature in tiles of bounded size, so a bucket
-never meets in one task and only pairs whose signatures agree become rows. Large copy groups so
-cost work in proportion to their size, and no candidate is capped or dropped.
+share a bucket are left. Their signatures are compared in tiles of bounded size, so a bucket never
+meets in one task; a tile returns a spanning forest, and so do the tiles that then compare the
+whole sets of each family of agreeing members, all pairs but those inside the family's largest
+component. Pairs never become rows, and no candidate is capped or dropped.
 
 Cases: null, empty and white-space texts have an empty set, no links and their own id as
 component; fewer than five words are one shingle; each repeated row is returned, with the
@@ -192,35 +193,110 @@ def confirm_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
-def _tile_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components whose signatures agree.
+class _Forest:
+    """Union-find over the numbers 0..n-1."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether x and y were apart until now."""
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _edges(rep: np.ndarray, pairs: list[tuple[int, int]]) -> pd.DataFrame:
+    a, b = (np.array([rep[p[k]] for p in pairs], np.int64) for k in (0, 1))
+    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+
+def _alike(buckets: DataFrame) -> DataFrame:
+    """Edges that connect whatever members of a bucket, of different components, agree by signature.
 
     A bucket of n members is cut into ceil(n / TILE) parts; every two parts meet in one task as a
-    tile, which compares signatures with numpy and returns only those that agree.
+    tile. A tile returns a spanning forest of its agreeing pairs, at most an edge a member.
     """
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(key[2]), int(key[3])
-        pdf = pdf.sort_values("rep")
         sig = np.frombuffer(b"".join(pdf["sig"]), "<u2").reshape(-1, HASHES)
-        rep, comp, part = pdf["rep"].to_numpy(), pdf["comp"].to_numpy(), pdf["part"].to_numpy()
+        comp, part = pdf["comp"].to_numpy(), pdf["part"].to_numpy()
         x, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        out = []
+        forest, out = _Forest(len(pdf)), []
         for k in x:
             others = y[y > k] if i == j else y
             others = others[comp[others] != comp[k]]
             if len(others):
                 hit = others[(sig[others] == sig[k]).sum(axis=1) >= AGREE]
-                out.append(np.stack([np.maximum(rep[hit], rep[k]), np.minimum(rep[hit], rep[k])], axis=1))
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(got, columns=["a", "b"])
+                out += [(k, m) for m in hit.tolist() if forest.join(k, m)]
+        return _edges(pdf["rep"].to_numpy(), out)
 
-    parts = F.expr(f"(n + {TILE - 1}) div {TILE}")
-    members = buckets.withColumn("parts", parts).withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
+    members = buckets.withColumn("parts", F.expr(f"(n + {TILE - 1}) div {TILE}")).withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
     tiles = members.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
     return tiles.select("band", "key", "i", "j", "rep", "comp", "sig", "part").groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long")
 
 
+def _intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x with sets y, by products of 0/1 matrices of bounded size."""
+    found, ids, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1  # shingles of one member only meet nothing
+    starts = np.cumsum([0, *(len(h) for h in sets)])
+    own = [np.sort(place[k[n[k] > 1]]) for k in (ids[starts[i] : starts[i + 1]] for i in range(len(sets)))]
+    out = np.zeros((len(x), len(y)), np.float32)
+    width = 4096
+    for low in range(0, int((n > 1).sum()), width):
+        a, b = (np.zeros((len(side), width), np.float32) for side in (x, y))
+        for m, side in ((a, x), (b, y)):
+            for row, k in enumerate(side):
+                m[row, own[k][np.searchsorted(own[k], low) : np.searchsorted(own[k], low + width)] - low] = 1
+        out += a @ b.T
+    return out
+
+
+def _links_in_families(members: DataFrame) -> DataFrame:
+    """Links (a, b) between components of a family, enough to connect all that are linked.
+
+    ``members``: family, rep, comp, n_family, n_big, is_big, text. Members outside a family's
+    largest component meet each other and that component's members in tiles; the whole sets of
+    all pairs of a tile are compared. The largest component is never compared with itself.
+    """
+
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, kind, i, j = key
+        comp = pdf["comp"].to_numpy()
+        sets = [shingle_hashes(words_of(t)) for t in pdf["text"]]
+        size = np.array([len(h) for h in sets])
+        if kind == "U":
+            x, y = np.flatnonzero(pdf["part"] == int(i)), np.flatnonzero(pdf["part"] == int(j))
+        else:
+            x, y = np.flatnonzero(~pdf["is_big"]), np.flatnonzero(pdf["is_big"])
+        if not len(x) or not len(y):
+            return _edges(comp, [])
+        both = _intersections(sets, x, y)
+        linked = (100 * both >= PERCENT * (size[x][:, None] + size[y][None, :] - both)) & (comp[x][:, None] != comp[y][None, :])
+        _, number = np.unique(comp, return_inverse=True)
+        forest, out = _Forest(number.max() + 1), []
+        for p, q in np.argwhere(linked).tolist():
+            if forest.join(int(number[x[p]]), int(number[y[q]])):
+                out.append((x[p], y[q]))
+        return _edges(pdf["rep"].to_numpy(), out)
+
+    parts = lambda n: F.expr(f"greatest(1L, ({n} + {TILE - 1}) div {TILE})")
+    rows = members.withColumns({"nu": parts("(n_family - n_big)"), "nv": parts("n_big")}).withColumn("part", F.expr("pmod(xxhash64(rep), if(is_big, nv, nu))"))
+    among = F.transform(F.expr("sequence(0L, nu - 1)"), lambda q: F.struct(F.lit("U").alias("kind"), F.least(q, F.col("part")).alias("i"), F.greatest(q, F.col("part")).alias("j")))
+    to_big = F.transform(F.expr("sequence(0L, nv - 1)"), lambda q: F.struct(F.lit("V").alias("kind"), F.col("part").alias("i"), q.alias("j")))
+    to_rest = F.transform(F.expr("sequence(0L, nu - 1)"), lambda q: F.struct(F.lit("V").alias("kind"), q.alias("i"), F.col("part").alias("j")))
+    tiles = rows.withColumn("tile", F.explode(F.when(F.col("is_big"), to_rest).otherwise(F.concat(among, to_big)))).select("family", "tile.*", "rep", "comp", "part", "is_big", "text")
+    return tiles.groupBy("family", "kind", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -255,15 +331,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = stars.join(first, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
     with_comp = buckets.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("band", "key", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = with_comp.groupBy("band", "key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 <> c1").select("band", "key", "n")
-    across = _tile_pairs(with_comp.join(mixed, ["band", "key"]).join(sig, "rep"))
-    second = stored(left.unionByName(across).distinct().join(first, ["a", "b"], "left_anti"), "minhash-second")
-    more = stored(confirm_links(second, _texts_of(source, second)), "minhash-more")
+    across = _alike(with_comp.join(mixed, ["band", "key"]).join(sig, "rep"))
+    # Families hold all pairs that are left; their whole texts decide.
+    families = stored(connected_components(left.unionByName(across)), "minhash-families")
+    members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("family", "rep", F.coalesce("component", "rep").alias("comp"))
+    sizes = members.groupBy("family", "comp").agg(F.count("*").alias("n")).groupBy("family").agg(F.sum("n").alias("n_family"), F.max(F.struct("n", "comp")).alias("big")).select("family", "n_family", F.col("big.n").alias("n_big"), F.col("big.comp").alias("big"))
+    members = stored(members.join(sizes, "family").withColumn("is_big", F.col("comp") == F.col("big")).drop("big"), "minhash-members")
+    more = stored(_links_in_families(members.join(source.select(F.col("doc_id").alias("rep"), "text"), "rep")), "minhash-more")
     final = stored(connected_components(links.unionByName(more)), "minhash-final")
 
     # Sets to components, documents to sets.
     by_set = stored(sets.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("set_lo", "set_hi", "members", F.coalesce("component", "rep").alias("component_id")), "minhash-by-set")
     rows = stored(signed.select("doc_id", "n_shingles", "set_lo", "set_hi"), "minhash-rows")
-    drop(signed, sets, reps, buckets, stars, links, comps, second, more, final)
+    drop(signed, sets, reps, buckets, stars, links, comps, families, members, more, final)
     linked = rows.where("n_shingles > 0 and doc_id is not null")
     alone = rows.where("not (n_shingles > 0 and doc_id is not null)").withColumn("component_id", F.col("doc_id"))
     out = join_unique(linked, by_set, ["set_lo", "set_hi"], "members", rows.count()).select("doc_id", "n_shingles", "component_id")
