@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -202,7 +201,7 @@ def read_tokens(manifest: DataFrame, folder: str, id_type: str = "bigint") -> Da
                         null = np.arange(start, start + len(part)) < nulls
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(pd.array(part["doc_id"], dtype="Int64"), mask=null, type=pa.int64()) if null.any() else pa.array(part["doc_id"], pa.int64()),
+                                pa.array(part["doc_id"].copy(), pa.int64(), mask=null),
                                 pa.array(part["before"].astype("i8") + base, pa.int64()),
                                 pa.array(part["n_ids"].astype("i8"), pa.int64()),
                                 pa.array(crcs, pa.int64()),
