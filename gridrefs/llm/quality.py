@@ -6,7 +6,7 @@ apart; texts are compressed whole. A logistic curve, fitted on labelled texts th
 dictionaries have not seen, turns the difference and the compression ratio into a score.
 
 The fit takes a bounded sample: at most ``SAMPLE_DOCS`` labelled texts of each class, of at most
-``SAMPLE_CHARS`` characters each, in the order of a hash of the text. Every second one trains its
+``SAMPLE_CHARS`` characters each, chosen by a hash. Every second one trains its
 dictionary, the others the curve. Scoring covers all rows and whole texts, without a shuffle.
 
 Cases: null and empty texts get the curve's value at zero difference; rows with other labels
@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hash_sample
+
 SAMPLE_DOCS = 800
 SAMPLE_CHARS = 30_000
 DICTIONARY_BYTES = 112 << 10
@@ -81,13 +83,8 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -
     """Fit on (text, label 0 or 1); None where a class has no text."""
     texts: dict[int, list[bytes]] = {}
     for label in (0, 1):
-        rows = (
-            labelled.where((F.col(label_col) == label) & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-            .select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("k"))
-            .orderBy("k", "text")
-            .limit(SAMPLE_DOCS)
-            .toPandas()
-        )
+        rows = labelled.where((F.col(label_col) == label) & (F.length(text_col) <= SAMPLE_CHARS)).select(F.col(text_col).alias("text"))
+        rows = rows.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).toPandas()
         texts[label] = [t.encode() for t in dict.fromkeys(rows["text"])]
     if not (texts[0] and texts[1]):
         return None
@@ -125,9 +122,14 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """(text, label) of labelled documents outside the held-out fold."""
-    known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
-    return docs.join(known, F.col(id_col) == F.col("label_id")).select(F.col(text_col).alias("text"), "label")
+    """(text, label) of a bounded sample of labelled documents outside the held-out fold.
+
+    The sample is drawn from the labels, SAMPLE_DOCS of each class, so that it is broadcast and the
+    documents don't move.
+    """
+    known = labels.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
+    chosen = hash_sample(known.where("label = 1"), "label_id", SAMPLE_DOCS).unionByName(hash_sample(known.where("label = 0"), "label_id", SAMPLE_DOCS))
+    return docs.join(F.broadcast(chosen), F.col(id_col) == F.col("label_id")).select(F.col(text_col).alias("text"), "label")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
