@@ -52,7 +52,7 @@ def shift_refs(refs: DataFrame, offsets: DataFrame, axis: int = 0, broadcast_row
 
 def identical_refs(refs: DataFrame, variables: DataFrame) -> DataFrame:
     """References of variables that are the same in all files: those of the first file."""
-    first = refs.join(F.broadcast(variables.select("project_id", "var").distinct()), ["project_id", "var"], "left_semi")
+    first = refs.join(variables.select("project_id", "var").distinct(), ["project_id", "var"], "left_semi")
     least = first.groupBy("project_id", "var").agg(F.min("file_ord").alias("file_ord"))
     return first.join(least, ["project_id", "var", "file_ord"], "left_semi")
 
@@ -61,7 +61,7 @@ def combined_refs(refs: DataFrame, offsets: DataFrame, identical: DataFrame | No
     """One dataset's references: shifted ones, and identical variables from the first file."""
     if identical is None:
         return shift_refs(refs, offsets)
-    names = F.broadcast(identical.select("project_id", "var").distinct())
+    names = identical.select("project_id", "var").distinct()
     moved = shift_refs(refs.join(names, ["project_id", "var"], "left_anti"), offsets)
     return moved.unionByName(identical_refs(refs, identical).select(*moved.columns))
 

@@ -50,7 +50,7 @@ def align(samples: DataFrame, test: DataFrame, rtol: float = 1e-5, atol: float =
 def shift_cells(cells: DataFrame, starts: DataFrame) -> DataFrame:
     """Cells of the test that lie in the window (dataset, starts, lengths), on the sample's coordinates."""
     inside = F.forall(F.zip_with(F.zip_with("idx", "starts", lambda i, s: i - s), "lengths", lambda d, n: (d >= 0) & (d < n)), lambda ok: ok)
-    return cells.join(F.broadcast(starts), "dataset").where(inside).withColumn("idx", F.zip_with("idx", "starts", lambda i, s: i - s)).drop("starts", "lengths")
+    return cells.join(starts, "dataset").where(inside).withColumn("idx", F.zip_with("idx", "starts", lambda i, s: i - s)).drop("starts", "lengths")
 
 
 def _number(c: str):
@@ -74,13 +74,13 @@ def pair_cells(test: DataFrame, control: DataFrame) -> DataFrame:
 def differing_cells(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     """Cells that are not close, by the tolerance of their variable."""
     tol = stats.select("dataset", "var", "atol")
-    return pairs.join(F.broadcast(tol), ["dataset", "var"]).where(~close(F.col("control"), F.col("test"), F.col("atol"))).drop("atol")
+    return pairs.join(tol, ["dataset", "var"]).where(~close(F.col("control"), F.col("test"), F.col("atol"))).drop("atol")
 
 
 def verdicts(pairs: DataFrame, stats: DataFrame) -> DataFrame:
     """Problems of each variable, joined by commas; empty if none. A single failing value is ``1D-nan``."""
     tol = stats.select("dataset", "var", "atol")
-    equal = pairs.join(F.broadcast(tol), ["dataset", "var"]).groupBy("dataset", "var").agg(F.bool_and(close(F.col("control"), F.col("test"), F.col("atol"))).alias("all_close"))
+    equal = pairs.join(tol, ["dataset", "var"]).groupBy("dataset", "var").agg(F.bool_and(close(F.col("control"), F.col("test"), F.col("atol"))).alias("all_close"))
     rows = stats.join(equal, ["dataset", "var"])
     apart = lambda k: F.when(F.abs(F.col(f"{k}_control") - F.col(f"{k}_test")) > F.col("atol"), f"{k}_not_equal")
     text = F.concat_ws(",", F.when(~F.col("all_close"), "not_equal"), apart("max"), apart("min"), apart("mean"))
@@ -94,7 +94,7 @@ def compare_chunks(test: DataFrame, control: DataFrame, rtol: float = 1e-5) -> D
     numbers = test.select("dataset", "var", F.filter("values", lambda v: ~F.isnan(v)).alias("v"))
     sums = numbers.select("dataset", "var", F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("s"), F.size("v").alias("n")).groupBy("dataset", "var").agg((F.abs(F.sum("s") / F.sum("n")) / 1000).alias("atol"))
     off = F.size(F.filter(F.zip_with("t", "c", lambda t, c: close(c, t, F.col("atol"), rtol)), lambda ok: ~F.coalesce(ok, F.lit(False))))
-    return both.join(F.broadcast(sums), ["dataset", "var"]).select(*keys, off.alias("differing"))
+    return both.join(sums, ["dataset", "var"]).select(*keys, off.alias("differing"))
 
 
 def box_level(idx, shape, top: int):
@@ -121,7 +121,7 @@ def growing_box(control: DataFrame, shapes: DataFrame, top: int = 100) -> DataFr
     ``control`` cells; ``shapes`` (dataset, var, shape).
     """
     start = F.greatest(F.lit(2), F.least(F.array_max("shape"), F.lit(top)))
-    cells = control.join(F.broadcast(shapes), ["dataset", "var"])
+    cells = control.join(shapes, ["dataset", "var"])
     level = cells.select("dataset", "var", "value", box_level(F.col("idx"), F.col("shape"), top).alias("level"), start.alias("start"))
     seen = F.when(~F.isnan("value") & F.col("level").isNotNull(), F.least("level", "start"))
     return level.groupBy("dataset", "var").agg(F.max(seen).alias("level"))

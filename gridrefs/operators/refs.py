@@ -77,7 +77,7 @@ def merge_inline(refs: DataFrame, ideal: int = 1000) -> DataFrame:
     # Powers of two that divide n and were reached while n / previous power > ideal.
     powers = F.filter(F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: F.pow(F.lit(2), k).cast("bigint")), lambda c: (F.col("n") % c == 0) & ((c == 1) | (F.col("n") / (c / 2) > ideal)))
     size = n.select("project_id", "var", F.array_max(powers).alias("comb"))
-    grouped = one.join(F.broadcast(size), ["project_id", "var"]).withColumn("group", F.floor(F.col("at") / F.col("comb")).cast("int"))
+    grouped = one.join(size, ["project_id", "var"]).withColumn("group", F.floor(F.col("at") / F.col("comb")).cast("int"))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("at", F.hex("inline").alias("h")))), lambda x: x["h"])
     return grouped.groupBy("project_id", "var", "group").agg(F.unhex(F.array_join(parts, "")).alias("inline")).select("project_id", "var", F.array("group").alias("coords"), "inline")
 

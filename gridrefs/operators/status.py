@@ -56,7 +56,7 @@ def status_table(last: DataFrame, ids_below: int = 10, faults: DataFrame | None
         last = last.join(faults.select("project_id"), "project_id", "left_anti")
     counts = last.groupBy("phase", "status").agg(F.count("*").alias("n"))
     rare = counts.where(F.col("n") < ids_below).select("phase", "status")
-    ids = last.join(F.broadcast(rare), ["phase", "status"], "left_semi").groupBy("phase", "status").agg(F.array_join(F.array_sort(F.collect_list("project_id")), ",").alias("ids"))
+    ids = last.join(rare, ["phase", "status"], "left_semi").groupBy("phase", "status").agg(F.array_join(F.array_sort(F.collect_list("project_id")), ",").alias("ids"))
     whole = Window.partitionBy("phase")
     place = F.row_number().over(whole.orderBy(F.desc("n"), "status"))
     total = F.sum("n").over(Window.partitionBy())

@@ -149,7 +149,14 @@ def rechunk_scheme(s, d):
     return rc.rechunk_scheme(dims.unionByName(more))
 
 
-QUERIES = {f.__name__: f for f in (attr_diff, name_diff, order_diff, monotonic_dims, aligned_windows, cell_diff, cell_stats, cell_verdict, growbox, dim_diff, meta_diff, worst_errors, bypassed_report, matched_reports, control_files, rechunked, chunk_cells, concat_cells, chunk_diff, rechunk_scheme)}
+def shifted_cells(s, d):
+    c = dv.coords(s, d)
+    cells = c.select("dataset", F.lit("time").alias("var"), F.array("pos").alias("idx"), "value")
+    window = c.select("dataset").distinct().select("dataset", F.array(F.lit(2)).alias("starts"), F.array(F.lit(5)).alias("lengths"))
+    return cp.shift_cells(cells, window).select("dataset", F.get("idx", 0).alias("pos"), "value")
+
+
+QUERIES = {f.__name__: f for f in (attr_diff, name_diff, order_diff, monotonic_dims, aligned_windows, cell_diff, cell_stats, cell_verdict, growbox, dim_diff, meta_diff, worst_errors, bypassed_report, matched_reports, control_files, rechunked, chunk_cells, concat_cells, chunk_diff, rechunk_scheme, shifted_cells)}
 
 _SIDES = """,
 t AS (SELECT project_id, attr, arg_min(value, file_ord) AS test FROM attrs WHERE file_ord < 400 AND file_ord % 2 = 0 GROUP BY 1, 2),
@@ -200,4 +207,5 @@ SELECT dataset, 'time' AS dim, CASE WHEN bool_or(t IS NULL OR c IS NULL) THEN 'd
 tg AS (SELECT dataset, dim, size, CASE WHEN sum(size) OVER (PARTITION BY dataset) > 20000 THEN 10000.0 * size / sum(size) OVER (PARTITION BY dataset) ELSE size / 10 END AS target FROM dm),
 dv AS (SELECT dataset, dim, size, target, unnest(range(1, size + 1)) AS x FROM tg)
 SELECT dataset, dim, CAST(size AS INTEGER) AS size, CAST(x AS INTEGER) AS chunk FROM (SELECT *, row_number() OVER (PARTITION BY dataset, dim ORDER BY abs(x - target), x) AS rn FROM dv WHERE size % x = 0) WHERE rn = 1""",
+    "shifted_cells": f"WITH {dv.COORDS} SELECT dataset, CAST(pos - 2 AS INTEGER) AS pos, value FROM coords WHERE pos BETWEEN 2 AND 6",
 }

@@ -8,6 +8,7 @@ from ..functions.text import format_bytes, substitute
 from ..operators import attrs as at
 from ..operators import combine as cb
 from ..operators import refs as rf
+from ..sources import readers, writers
 from . import derive as dv
 
 
@@ -140,6 +141,34 @@ def byte_texts(s, d):
     return dv.refs(s, d).groupBy("project_id").agg(F.sum("size").alias("bytes")).select("project_id", format_bytes(F.col("bytes") * 997).alias("text"))
 
 
+def document_round_trip(s, d):
+    refs = dv.refs(s, d)
+    whole = cb.combined_refs(refs, cb.chunk_offsets(cb.chunk_counts(dv.var_meta(s, d))))
+    docs = writers.documents(whole).withColumnRenamed("project_id", "uri")
+    rows = readers.explode_documents(docs).select(F.col("uri").alias("project_id"), F.lit(0).alias("file_ord"), "key", "value")
+    return rf.parse_refs(rows).groupBy("project_id", "var").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("path").alias("paths"))
+
+
+def config_defaults(s, d):
+    conf = readers.with_defaults(dv.projects(s, d).select("project_id", F.col("base").alias("value")))
+    return conf.select("project_id", F.col("conf")["version_no"].alias("version_no"), F.col("conf")["cloud_format"].alias("cloud_format"), F.size("conf").alias("keys"))
+
+
+def virtual_dimension(s, d):
+    out = cb.virtual_refs(dv.refs(s, d).where("var = 'RF'"))
+    return out.groupBy("project_id", F.get("coords", 0).alias("file_number")).agg(F.count("*").alias("n"), F.max(F.get("coords", 1)).alias("top"))
+
+
+def kept_variables(s, d):
+    meta = dv.var_meta(s, d).withColumn("dims", F.when(F.col("var") == "RF", F.array(F.lit("NO"))).otherwise(F.col("dims")))
+    wanted = meta.where("var = 'RF'").select("project_id", "var")
+    return rf.keep_variables(meta, wanted).groupBy("project_id", "var").agg(F.count("*").alias("n"))
+
+
+def combined_meta(s, d):
+    return cb.combined_meta(dv.var_meta(s, d)).select("project_id", "var", F.get("shape", 0).alias("length"), "dtype", "units")
+
+
 def _sql(tables: str, select: str) -> str:
     return f"WITH {tables}\n{select}"
 
@@ -169,7 +198,7 @@ merged AS (SELECT project_id, attr,
        WHEN versions <> 1 OR first_ord <> first_file THEN 'See individual files for more details' ELSE first END AS value,
   attr NOT LIKE '%time%' AND (versions <> 1 OR first_ord <> first_file) AS special FROM ba JOIN nf USING (project_id))"""
 
-QUERIES = {f.__name__: f for f in (file_summary, project_scan, output_type, chunks_per_var, scan_sample, file_ranges, first_files, missing_ranges, file_order, chunk_offsets, grid_placement, combined_refs, overlaps, missing_files, refs_per_file, merged_chunks, chunk_consistency, variable_consistency, unit_conflicts, dim_roles, merged_attrs, corrected_attrs, history, links, substitutions, byte_texts)}
+QUERIES = {f.__name__: f for f in (file_summary, project_scan, output_type, chunks_per_var, scan_sample, file_ranges, first_files, missing_ranges, file_order, chunk_offsets, grid_placement, combined_refs, overlaps, missing_files, refs_per_file, merged_chunks, chunk_consistency, variable_consistency, unit_conflicts, dim_roles, merged_attrs, corrected_attrs, history, links, substitutions, byte_texts, document_round_trip, config_defaults, virtual_dimension, kept_variables, combined_meta)}
 
 SQL = {
     "file_summary": _sql(dv.REFS, "SELECT project_id, file_ord, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS chunks FROM refs GROUP BY 1, 2"),
@@ -209,4 +238,9 @@ vr AS (SELECT project_id, var, count(DISTINCT n) AS versions FROM meta GROUP BY
     "links": _sql(dv.REFS, "SELECT CASE WHEN starts_with(path, '/d1') THEN 'https://data.example.org/d1' || substr(path, 4) ELSE path END AS path, count(*) AS n FROM refs GROUP BY 1"),
     "substitutions": "SELECT page_id, replace(replace(replace(url, 'http://', 'https://'), 'example', 'archive'), '/en/', '/english/') AS url FROM pages",
     "byte_texts": _sql(dv.REFS, f"SELECT project_id, {_bytes_sql('b')} AS text FROM (SELECT project_id, CAST(sum(size) * 997 AS DOUBLE) AS b FROM refs GROUP BY 1)"),
+    "document_round_trip": _sql(dv.REFS, "SELECT project_id, var, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, count(DISTINCT path) AS paths FROM refs GROUP BY 1, 2"),
+    "config_defaults": _sql(dv.PROJECTS, "SELECT project_id, version AS version_no, 'kerchunk' AS cloud_format, 6 AS keys FROM projects"),
+    "virtual_dimension": _sql(dv.REFS, "SELECT project_id, file_ord AS file_number, count(*) AS n, max(coord) AS top FROM refs WHERE var = 'RF' GROUP BY 1, 2"),
+    "kept_variables": _sql(dv.META, "SELECT project_id, var, count(*) AS n FROM meta WHERE var IN ('RF', 'NO') AND project_id IN (SELECT project_id FROM meta WHERE var = 'RF') GROUP BY 1, 2"),
+    "combined_meta": _sql(dv.META, "SELECT project_id, var, CAST(sum(n) AS INTEGER) AS length, arg_min(dtype, file_ord) AS dtype, arg_min(units, file_ord) AS units FROM meta GROUP BY 1, 2"),
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -9,6 +12,7 @@ from ..operators import catalog as ct
 from ..operators import sets as st
 from ..operators import status as ss
 from ..sources.readers import add_projects as add
+from ..streaming import status as stream
 from . import derive as dv
 
 NOW = "2024-01-29 00:00:00"
@@ -174,7 +178,17 @@ def time_texts(s, d):
     return e.select("event_id", tx.format_minutes(k * 37).alias("minutes"), tx.seconds_allowed(F.concat(F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":30"))).alias("seconds"))
 
 
-QUERIES = {f.__name__: f for f in (last_status, phase_reached, status_table, validate_split, group_overview, stale_pending, next_steps, ready_groups, method_counts, fault_counts, status_select, status_split, quarantine, bulk_redo, subset_union, subset_distinct, saved_subset, group_merge, group_split, transfer, remove_projects, block_of_group, group_sizes, add_projects, group_summary, attribute_check, attribute_set, stac_records, catalog_items, revisions, code_check, time_texts)}
+def streamed_status(s, d):
+    """The last status as a stream of appended log files leaves it."""
+    base = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    name = f"status_{uuid.uuid4().hex[:12]}"
+    dv.status_log(s, d).repartitionByRange(4, "line_no").write.parquet(f"{base}/{name}/log")
+    lines = stream.read_log_stream(s, f"{base}/{name}/log", files_per_trigger=2)
+    stream.follow(lines, f"{base}/{name}/state", name).awaitTermination()
+    return s.table(name).drop("job_id")
+
+
+QUERIES = {f.__name__: f for f in (last_status, phase_reached, status_table, validate_split, group_overview, stale_pending, next_steps, ready_groups, method_counts, fault_counts, status_select, status_split, quarantine, bulk_redo, subset_union, subset_distinct, saved_subset, group_merge, group_split, transfer, remove_projects, block_of_group, group_sizes, add_projects, group_summary, attribute_check, attribute_set, stac_records, catalog_items, revisions, code_check, time_texts, streamed_status)}
 
 _STALE = f"CASE WHEN status = 'Pending' AND epoch(TIMESTAMP '{NOW}') - floor(epoch(ts)) > 86400 THEN 'JobCancelled' ELSE status END"
 _NUM = "CASE phase WHEN 'init' THEN 0 WHEN 'scan' THEN 1 WHEN 'compute' THEN 2 WHEN 'validate' THEN 3 ELSE 4 END"
@@ -215,4 +229,5 @@ SELECT phase, status, n, round(100 * sum(n) OVER (PARTITION BY phase) / sum(n) O
     "revisions": f"WITH {dv.PROJECTS}, r AS (SELECT *, left(cloud_format, 1) || CASE WHEN remote OR cloud_format = 'zarr' THEN 'r' ELSE '' END || version AS revision FROM projects) SELECT project_id, revision, project_id || '.' || revision AS product, '1.' || (k % 7 + 1) AS next FROM r",
     "code_check": "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'numeric' WHEN 1 THEN 'characters' END AS problem FROM pages",
     "time_texts": "WITH e AS (SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events) SELECT event_id, CASE WHEN floor(k * 37 / 60) + 1 < 10 THEN '0' ELSE '' END || CAST(CAST(floor(k * 37 / 60) + 1 AS BIGINT) AS VARCHAR) || ':00' AS minutes, CAST((k % 60) * 60 + 30 AS BIGINT) AS seconds FROM e",
+    "streamed_status": f"WITH {dv.LOG} SELECT * FROM last",
 }
