@@ -129,7 +129,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     known = labels.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
     chosen = hash_sample(known.where("label = 1"), "label_id", SAMPLE_DOCS).unionByName(hash_sample(known.where("label = 0"), "label_id", SAMPLE_DOCS))
-    return docs.join(F.broadcast(chosen), F.col(id_col) == F.col("label_id")).select(F.col(text_col).alias("text"), "label")
+    texts = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("text_id") == F.col("label_id")).select("text", "label")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

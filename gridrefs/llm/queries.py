@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import on_workers
 from . import decontam, exactdup, mixing, neardup, pii, quality, tokencount, tokenout, urlfilter, warc
 
 #: Id that closes a document in flat token files, and in the indexed files.
@@ -21,6 +22,7 @@ def tokenizer_path() -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table."""
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
