@@ -2,7 +2,7 @@
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, bin string, h string, score double, rep long, component string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, bin string, h string, score double, rep long, component string, label int, label_id long, digest string"
 
 
 @pytest.fixture(scope="session")
@@ -24,7 +24,7 @@ def odd_docs(spark):
         (10, "x" * 200_000, "en", "c"),
         (11, "1 " * 60_000, "en", "c"),
     ]
-    full = [(*r, None if r[1] is None else len(r[1]), 7, "bin", "h", 0.5, 1, "k") for r in rows]
+    full = [(*r, None if r[1] is None else len(r[1]), 7, "bin", "h", 0.5, 1, "k", 1, 2, "d") for r in rows]
     return spark.createDataFrame(full, SCHEMA).cache()
 
 
