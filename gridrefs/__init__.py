@@ -1 +1,14 @@
 """PySpark jobs for collections of gridded array files."""
+
+from __future__ import annotations
+
+import os
+from pathlib import Path
+
+
+def on_workers(spark) -> None:
+    """Let Python workers find this package where it lies, if it is not installed there."""
+    env, top = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if top not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, top])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import on_workers
 from ..operators.refs import parse_refs
 
 #: Fixed mapping of event types to statuses.
@@ -14,6 +15,7 @@ PHASES = ("init", "scan", "compute", "validate")
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A driver table."""
+    on_workers(spark)
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
