@@ -102,6 +102,11 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return few.orderBy(hashed, *[c for c, kind in df.dtypes if kind == "string" and c != key]).limit(n)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the frame (already stored, so cheap to count) has at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """Broadcast hint if the frame (already stored, so cheap to measure) has at most ``limit`` narrow rows.
+
+    ``weight`` counts the values of a row whose width varies; their sum is then held to the limit.
+    """
+    if weight is None:
+        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if (df.agg(F.sum(weight).alias("w")).first()["w"] or 0) <= limit else df
