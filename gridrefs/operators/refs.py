@@ -9,7 +9,7 @@ from ..functions.text import fixed, format_bytes
 
 #: Keys of chunks: a variable, a slash, and numbers joined by full stops.
 CHUNK_KEY = r"^(.+)/(\d+(?:\.\d+)*)$"
-#: Bytes of one reference, an estimate.
+#: Fixed value: bytes of one reference, an estimate.
 REF_BYTES = 167
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed order in which errors of the data part decide, with the kind of verdict.
+#: The order in which errors of the data part decide, with the kind of verdict.
 DATA_PRIORITY = ("size_errors", "dim_size_errors", "data_errors", "dim_errors", "growbox", "bypassed", "dtype/precision")
 FATAL = DATA_PRIORITY[:4]
 

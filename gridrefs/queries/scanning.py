@@ -151,7 +151,7 @@ def document_round_trip(s, d):
 
 def config_defaults(s, d):
     conf = readers.with_defaults(dv.projects(s, d).select("project_id", F.col("base").alias("value")))
-    return conf.select("project_id", F.col("conf")["version_no"].alias("version_no"), F.col("conf")["cloud_format"].alias("cloud_format"), F.size("conf").alias("keys"))
+    return conf.select("project_id", F.col("conf")["version_no"].alias("version_no"), F.get_json_object(F.col("conf")["override"], "$.file_type").alias("file_type"), F.get_json_object(F.col("conf")["data_properties"], "$.pure_dims").alias("pure_dims"), F.size("conf").alias("keys"))
 
 
 def virtual_dimension(s, d):
@@ -239,7 +239,7 @@ vr AS (SELECT project_id, var, count(DISTINCT n) AS versions FROM meta GROUP BY
     "substitutions": "SELECT page_id, replace(replace(replace(url, 'http://', 'https://'), 'example', 'archive'), '/en/', '/english/') AS url FROM pages",
     "byte_texts": _sql(dv.REFS, f"SELECT project_id, {_bytes_sql('b')} AS text FROM (SELECT project_id, CAST(sum(size) * 997 AS DOUBLE) AS b FROM refs GROUP BY 1)"),
     "document_round_trip": _sql(dv.REFS, "SELECT project_id, var, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, count(DISTINCT path) AS paths FROM refs GROUP BY 1, 2"),
-    "config_defaults": _sql(dv.PROJECTS, "SELECT project_id, version AS version_no, 'kerchunk' AS cloud_format, 6 AS keys FROM projects"),
+    "config_defaults": _sql(dv.PROJECTS, "SELECT project_id, version AS version_no, 'json' AS file_type, 'Unknown' AS pure_dims, 10 AS keys FROM projects"),
     "virtual_dimension": _sql(dv.REFS, "SELECT project_id, file_ord AS file_number, count(*) AS n, max(coord) AS top FROM refs WHERE var = 'RF' GROUP BY 1, 2"),
     "kept_variables": _sql(dv.META, "SELECT project_id, var, count(*) AS n FROM meta WHERE var IN ('RF', 'NO') AND project_id IN (SELECT project_id FROM meta WHERE var = 'RF') GROUP BY 1, 2"),
     "combined_meta": _sql(dv.META, "SELECT project_id, var, CAST(sum(n) AS INTEGER) AS length, arg_min(dtype, file_ord) AS dtype, arg_min(units, file_ord) AS units FROM meta GROUP BY 1, 2"),

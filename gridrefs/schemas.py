@@ -15,5 +15,5 @@ CHUNKS = "dataset string, var string, chunk array<int>, origin array<int>, shape
 STATUS_LOG = "group_id string, project_id string, line_no bigint, phase string, status string, ts timestamp, job_id string"
 REPORT = "project_id string, part string, section string, error string, parent string, name string, detail map<string,string>, skipped boolean"
 
-#: Phases of a project in their order.
+#: Phases of a project in their order.
 PHASES = ("init", "scan", "compute", "validate", "complete")

@@ -208,7 +208,7 @@ def test_files_and_configs(spark, tmp_path):
     with pytest.raises(Exception):
         readers.list_files(spark, "p", str(tmp_path / "*.tif"))
     conf = readers.with_defaults(spark.createDataFrame([("p", '{"remote":"true"}')], "project_id string, value string")).first()["conf"]
-    assert conf["remote"] == "true" and conf["version_no"] == "1.1"
+    assert conf["remote"] == "true" and conf["version_no"] == "1.0" and conf["last_run"] == "[null,null]"
 
 
 def test_user_functions(spark):
