@@ -58,14 +58,14 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def features(texts: list[bytes], good: bytes, bad: bytes) -> np.ndarray:
-    """Normalised size difference, compression ratio, their product, and 1, for each text."""
+    """For each text: size difference (plain and damped for short texts), compression ratio, how far it falls below 0.3, and 1."""
     a, b = _compressor(good), _compressor(bad)
     size = np.array([(len(a.compress(t)), len(b.compress(t)), len(t)) for t in texts], float).reshape(-1, 3)
     diff = (size[:, 1] - size[:, 0]) / (size[:, 0] + size[:, 1])
     ratio = np.minimum(1.5, size[:, :2].min(axis=1) / np.maximum(size[:, 2], 1))
     long_ = np.minimum(1.0, size[:, 2] / 500)  # a short text's difference says less
-    out = np.stack([diff * 20, diff * 20 * long_, (ratio - 0.4) * long_, np.ones(len(diff))], axis=1)
-    out[size[:, 2] == 0, :3] = 0
+    out = np.stack([diff * 20, diff * 20 * long_, (ratio - 0.4) * long_, np.maximum(0, 0.3 - ratio) * 10, np.ones(len(diff))], axis=1)
+    out[size[:, 2] == 0, :-1] = 0
     return out
 
 
