@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import open_fs, shared_folder, stored
+from .shared import hash_sample, open_fs, shared_folder, stored
 from .tokens import encoder
 
 MAGIC = b"GTOK0001"
@@ -38,7 +38,7 @@ HEAD = "<8s32sI"
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("before", "<u8"), ("n_ids", "<u4"), ("size", "<u4")])
 FOOT = "<QQQQ"
 
-#: Documents in the sample that the dictionary is trained on, and their longest text.
+#: Documents in the sample that the dictionary is trained on, and how much of each.
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 50_000
 DICTIONARY_BYTES = 64 << 10
@@ -68,17 +68,10 @@ def _decompressor(data: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=_dictionary(data))
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> list[bytes]:
-    """Id arrays of a bounded sample of documents, the same at each run."""
-    rows = (
-        docs.where(F.length(text_col) <= SAMPLE_CHARS)
-        .select(F.xxhash64(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
-        .orderBy("k")
-        .limit(SAMPLE_DOCS)
-        .toPandas()
-    )
-    enc = encoder(tokenizer)
-    return [x + np.array([end_id], enc.dtype).tobytes() for x in enc.encode(list(rows["text"]))]
+def _sample(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """Texts of a bounded sample of documents, the same at each run."""
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
+    return list(hash_sample(rows, "doc_id", SAMPLE_DOCS).toPandas()["text"])
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_chars: int = FILE_CHARS) -> tuple[DataFrame, str]:
@@ -86,10 +79,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     folder = shared_folder(spark, "token-ids")
-    size = docs.agg(F.sum(F.length(text_col)).alias("c")).first()["c"] or 0
+    sample = _sample(docs, id_col, text_col)
+    size = docs.count() * sum(map(len, sample)) // max(1, len(sample))  # an estimate; it only sets the number of files
     n_files = int(min(100_000, max(2 * spark.sparkContext.defaultParallelism if size > file_chars else 1, size // file_chars + 1)))
     cuts = sorted(set(docs.approxQuantile(id_col, [i / n_files for i in range(1, n_files)], min(0.01, 0.2 / n_files)))) if n_files > 1 else []
-    dictionary = train_dictionary(_sample(docs, id_col, text_col, tokenizer, end_id))
+    enc = encoder(tokenizer)
+    dictionary = train_dictionary([x + np.array([end_id], enc.dtype).tobytes() for x in enc.encode(sample)])
     digest = hashlib.sha256(dictionary).digest()
     fs, path = open_fs(folder)
     fs.create_dir(path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -39,14 +40,14 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = keep_special_text
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")  # also array()'s H and I
         self.cache: dict[str, bytes] = {}
         #: Whether the pre-tokenizer is the byte-level one whose cuts are known.
         self.by_pieces = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in got]
+        return [array(self.dtype.char, x.ids).tobytes() for x in got]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Id bytes of each text."""
