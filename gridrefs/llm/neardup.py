@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import drop, join_unique, stored
+from .shared import drop, join_unique, stored, without
 
 WORDS = 5
 #: Linked if 100 * intersection >= PERCENT * union.
@@ -358,5 +358,4 @@ def _texts_of(source: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that have a near-duplicate of smaller id."""
-    found = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__drop_id")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("__drop_id"), "left_anti")
+    return without(docs, id_col, near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id"))

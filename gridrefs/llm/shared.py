@@ -110,3 +110,9 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column |
     if weight is None:
         return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
     return F.broadcast(df) if (df.agg(F.sum(weight).alias("w")).first()["w"] or 0) <= limit else df
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` whose id is not in the one column of ``gone``; the ids are broadcast if they are counted to be few."""
+    ids = stored(gone.distinct().toDF("__gone_id"), "gone")
+    return docs.join(maybe_broadcast(ids), F.col(id_col) == F.col("__gone_id"), "left_anti")
