@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Cached pieces of a worker; the cache starts anew beyond that.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 650_000
 
 #: A full stop or comma between a letter or digit and white space or the end.
 _STOP = re.compile(r"[.,](?<=[^\W_].)(?=[ \n]|$)")
@@ -65,7 +65,7 @@ class PieceEncoder:
         if len(self.cache) > CACHE_PIECES:
             self.cache.clear()
         cache = self.cache
-        new = [p for p in {p for _, pieces in cut for p in pieces} if p not in cache]
+        new = list(set().union(*[pieces for _, pieces in cut]).difference(cache))
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
             plain = [p[1:] if p[0:1] == "\x01" else p if p[0:1] == "\n" else " " + p for p in part]
