@@ -51,12 +51,13 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9]", True, 0.8, "card|visa|carte|karte|tarjeta|credit|payment", "order|isbn|serial"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", True, 0.8, "tel|phone|call|fax|mobile"),
     Kind("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Z0-9])", r"[A-Z]{2}[0-9]{2}", False, 0.8, "iban|bank|konto|compte|cuenta|account"),
-    Kind("secret", r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[a-z0-9+/_-]{12,200}+", r"[:=]", False, 0.6, "token|key|secret|password"),
+    Kind("secret", r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\x20{0,3}[:=]\x20{0,3}[\"']?[a-z0-9+/_-]{12,}+", r"[:=]", False, 0.6, "token|key|secret|password"),
     Kind("account", r"(?<![0-9A-Za-z+.-])[0-9]{8,18}+(?![0-9A-Za-z-])", r"[0-9]{8}", False, 0.3, "account|iban|konto|compte|cuenta|ssn|passport|customer|kunden", "order|isbn|serial|version"),
 )
 THRESHOLD = 0.5
 CONTEXT_BONUS = 0.3
-IP = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: A part of an IP address, at most 255; zeros before it are free, and it may be all zeros.
+IP = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
 def _luhn(digits: Column) -> Column:

@@ -140,6 +140,31 @@ def test_personal_data_of_whole_tables(spark, odd_docs, no_docs):
     assert pii.personal_data(no_docs).count() == 0
 
 
+ZEROS = ["0.0.0.0 and 10.0.0.1, 127.000.0.1", "8.8.8.0 192.168.0.1 0.0.0.256 1000.0.0.1 00255.0.010.0300", "0" * 4000 + ".0.0." + "0" * 4000 + " 0.0.0." + "0" * 4000 + "256"]
+
+
+def test_ip_parts_of_zeros_equal_brute_force(spark):
+    docs = spark.createDataFrame(list(enumerate(ZEROS)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    for i, text in enumerate(ZEROS):
+        want = brute_spans(text)
+        assert rows[i]["n_ip"] == len(want["ip"])
+        joined = ",".join(f"{k}:{a}:{b}" for k, v in want.items() for a, b in v)
+        assert rows[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+    assert [rows[i]["n_ip"] for i in range(3)] == [3, 2, 1]
+    long = spark.createDataFrame([(0, "0" * 200_000 + ".0.0." + "0" * 200_000)], "doc_id long, text string")
+    assert pii.personal_data(long).first()["n_ip"] == 1
+
+
+def test_long_secrets_are_whole(spark):
+    tokens = ["aB3_" * 75, "x9/+" * 50_000]
+    docs = spark.createDataFrame([(i, f"my token: {t} end") for i, t in enumerate(tokens)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    for i, t in enumerate(tokens):
+        assert f"secret:3:{10 + len(t)}" in spans[i].split(",")
+    assert {r["text"] for r in pii.redact(docs).collect()} == {"my <secret> end"}
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "write to a@b.cd now"), (2, None)], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
