@@ -2,9 +2,11 @@
 
 Features of a URL: length, path depth, share of digits, character entropy, parameters, labels of
 the host, longest host label, hyphens, and statistics of the host's suffix (smoothed share of
-blocked URLs and frequency among the labelled). The trees are trained from labelled URLs, by
-default as the rules label them, on a bounded sample; the trained trees are turned into SQL
-expressions, so that scoring all URLs is one scan without a shuffle.
+blocked URLs and frequency among the labelled). The trees are trained from labelled URLs on a
+bounded sample. Without a labelled table they learn from the URLs that a rule decides; the others
+are unlabelled, and the suffix statistics are left out, as a rule for one part of a suffix would
+give its label to all of it. The trained trees are turned into SQL expressions, so that scoring all
+URLs is one scan without a shuffle.
 
 Cases: a null URL or one without ``://`` has empty host and path, fits no rule and is scored like
 any other; without labels of both kinds every other URL is allowed; of rules that fit, the longest
@@ -30,6 +32,8 @@ TREES, DEPTH, SEED = 12, 3, 7
 #: Score from which a URL without a rule is blocked.
 THRESHOLD = 0.5
 FEATURES = ("length", "depth", "digit_ratio", "entropy", "params", "labels", "longest", "hyphens", "suffix_rate", "suffix_freq")
+#: Those that do not look at other URLs of the suffix.
+LEXICAL = FEATURES[:-2]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -88,8 +92,11 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def train(labelled: DataFrame) -> tuple[list[tuple[float, object]], dict[str, tuple[float, float]], float] | None:
-    """Trees with weights, suffix statistics and the base rate, from (url, label 0 or 1: block); None without both labels."""
+def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> tuple[list[tuple[float, object]], dict[str, tuple[float, float]], float] | None:
+    """Trees with weights, suffix statistics and the base rate, from (url, label 0 or 1: block); None without both labels.
+
+    ``features`` are the first ones of ``FEATURES``.
+    """
     host, path = host_and_path(F.col("url"))
     rows = labelled.where("url is not null").select("url", F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
     sample = hash_sample(rows, "url", SAMPLE_URLS).select("label", suffix(F.col("host")).alias("suffix"), *lexical(F.col("url"), F.col("host"), F.col("path")))
@@ -101,7 +108,7 @@ def train(labelled: DataFrame) -> tuple[list[tuple[float, object]], dict[str, tu
         return None
     stats = {s: ((b + 5 * bad / n) / (c + 5), c / n) for s, (c, b) in counts.items()}
     rate, freq = _suffix_columns(F.col("suffix"), stats, bad / n)
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.withColumns({"suffix_rate": rate, "suffix_freq": freq})).select("features", "label")
+    ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(sample.withColumns({"suffix_rate": rate, "suffix_freq": freq})).select("features", "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32).fit(ready)
     sample.unpersist()
     trees = [(w, t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode")) for t, w in zip(model.trees, model.treeWeights, strict=True)]
@@ -134,15 +141,16 @@ def _expression(tree: object) -> Column:
 def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """One row a page: page_id, host, path, rule, verdict, score.
 
-    ``labelled`` has url and label (1: block); without it, the rules label the URLs: those that they
-    block are the bad ones, all others count as good.
+    ``labelled`` has url and label (1: block); without it, the rules label the URLs that they decide,
+    and the trees learn from those by the lexical features alone.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", apply_rules(F.col("host"), F.col("path"), rules))
+    features = FEATURES
     if labelled is None:
-        labelled = rows.select("url", F.coalesce((F.col("hit.verdict") == "block").cast("int"), F.lit(0)).alias("label"))
-    model = train(labelled)
+        labelled, features = rows.where("hit is not null").select("url", (F.col("hit.verdict") == "block").cast("int").alias("label")), LEXICAL
+    model = train(labelled, features)
     if model is None:
         score = F.lit(0.0)
         scored = rows.withColumn("score", score)

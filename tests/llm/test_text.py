@@ -213,6 +213,18 @@ def test_trees_learn_labelled_urls(spark):
     assert sum(right) / len(right) > 0.97
 
 
+def test_undecided_urls_are_left_to_the_trees(spark):
+    junk = lambda host, i: f"http://x{i}-{i * 7919}.{host}/{i * 104729}?a={i}&b={i * 3}&c=9"
+    plain = lambda host, start, i: f"https://site.{host}/{start}story-of-a-day"
+    decided = [junk("net", i) for i in range(100)] + [plain(f"s{i}.org", "fr/", i) for i in range(100)]
+    bad, good = [junk("com", i) for i in range(100)], [plain(f"s{i}.com", "en/", i) for i in range(100)]
+    pages = spark.createDataFrame(list(enumerate(decided + bad + good)), "page_id long, url string")
+    rows = {r["page_id"]: r for r in urlfilter.filter_urls(pages).collect()}
+    assert all(rows[i]["rule"] for i in range(200)) and not any(rows[i]["rule"] for i in range(200, 400))
+    assert sum(rows[i]["verdict"] == "block" for i in range(200, 300)) > 95
+    assert sum(rows[i]["verdict"] == "allow" for i in range(300, 400)) > 95
+
+
 def brute_targets(sizes, weights, total, cap):
     target = {s: 0.0 for s in sizes}
     free, left = set(sizes), total
