@@ -6,7 +6,8 @@ blocked URLs and frequency among the labelled). The trees are trained from label
 bounded sample. Without a labelled table they learn from the URLs that a rule decides; the others
 are unlabelled, and the suffix statistics are left out, as a rule for one part of a suffix would
 give its label to all of it. The trained trees are turned into SQL expressions, so that scoring all
-URLs is one scan without a shuffle.
+URLs is one scan without a shuffle. Suffixes are counted over all distinct labelled URLs and joined
+by their counts; only the trees' sample is bounded.
 
 Cases: a null URL or one without ``://`` has empty host and path, fits no rule and is scored like
 any other; without labels of both kinds every other URL is allowed; of rules that fit, the longest
@@ -21,12 +22,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hash_sample, let, lower_ascii
+from .shared import BROADCAST_ROWS, drop, hash_sample, join_unique, let, lower_ascii, stored
 
 #: (verdict, rule): a rule is a host, a slash and the path's start without its leading slash.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-#: Labelled URLs that the trees are trained on, chosen by a hash of the URL.
+#: Distinct labelled URLs that the trees are trained on, chosen by a hash of the URL.
 SAMPLE_URLS = 10_000
 TREES, DEPTH, SEED = 12, 3, 7
 #: Score from which a URL without a rule is blocked.
@@ -92,27 +93,50 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> tuple[list[tuple[float, object]], dict[str, tuple[float, float]], float] | None:
-    """Trees with weights, suffix statistics and the base rate, from (url, label 0 or 1: block); None without both labels.
+def suffix_stats(labelled: DataFrame) -> DataFrame:
+    """(suffix, n, bad): labelled URLs and blocked ones of each suffix, from distinct (suffix, label, ..)."""
+    return labelled.groupBy("suffix").agg(F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("bad"))
 
-    ``features`` are the first ones of ``FEATURES``.
+
+def _rate_and_freq(n: int, bad: int) -> list[Column]:
+    """Smoothed block rate and frequency of a suffix with (n, bad), of which there are so many over all."""
+    rate = (F.col("bad") + 5 * bad / n) / (F.col("n") + 5)
+    return [F.coalesce(rate, F.lit(bad / n)).alias("suffix_rate"), F.coalesce(F.col("n") / n, F.lit(0.0)).alias("suffix_freq")]
+
+
+def _sample(urls: DataFrame) -> DataFrame:
+    """At most SAMPLE_URLS distinct labelled URLs by a hash of the URL; half of each label if that would leave only one."""
+    sample = hash_sample(urls, "url", SAMPLE_URLS)
+    if sample.select("label").distinct().count() < 2:
+        sample = hash_sample(urls.where("label = '0'"), "url", SAMPLE_URLS // 2).unionByName(hash_sample(urls.where("label = '1'"), "url", SAMPLE_URLS // 2))
+    return sample
+
+
+def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> tuple[list[tuple[float, object]], DataFrame, int, int] | None:
+    """Trees with weights, (suffix, n, bad), and n and bad over all, from (url, label 0 or 1: block); None without both labels.
+
+    Repeated rows count once. The suffixes are counted over all labelled URLs; the sample is for the
+    trees alone. ``features`` are the first ones of ``FEATURES``.
     """
     host, path = host_and_path(F.col("url"))
-    rows = labelled.where("url is not null").select("url", F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
-    sample = hash_sample(rows, "url", SAMPLE_URLS).select("label", suffix(F.col("host")).alias("suffix"), *lexical(F.col("url"), F.col("host"), F.col("path")))
-    sample = sample.coalesce(1).cache()  # bounded; one partition makes the trees the same at each run
-    counts = {r["suffix"]: (r["n"], r["bad"]) for r in sample.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad")).collect()}
-    n, bad = sum(c for c, _ in counts.values()), sum(b for _, b in counts.values())
+    urls = stored(labelled.where("url is not null and label is not null").select("url", F.col("label").cast("int").cast("string").alias("label")).distinct(), "urls")
+    stats = stored(suffix_stats(urls.select(suffix(host).alias("suffix"), "label")), "suffixes")
+    total = stats.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    n, bad = total["n"] or 0, total["bad"] or 0
     if not 0 < bad < n:
-        sample.unpersist()
+        drop(urls, stats)
         return None
-    stats = {s: ((b + 5 * bad / n) / (c + 5), c / n) for s, (c, b) in counts.items()}
-    rate, freq = _suffix_columns(F.col("suffix"), stats, bad / n)
-    ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(sample.withColumns({"suffix_rate": rate, "suffix_freq": freq})).select("features", "label")
+    sample = _sample(urls).select("url", F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
+    sample = sample.select("label", suffix(F.col("host")).alias("suffix"), *lexical(F.col("url"), F.col("host"), F.col("path")))
+    sample = sample.coalesce(1).cache()  # bounded; one partition makes the trees the same at each run
+    known = stats.join(F.broadcast(sample.select("suffix").distinct()), "suffix")  # at most as many as sampled URLs
+    ready = sample.join(F.broadcast(known), "suffix", "left").select("*", *_rate_and_freq(n, bad))
+    ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(ready).select("features", "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32).fit(ready)
     sample.unpersist()
+    drop(urls)
     trees = [(w, t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode")) for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    return [(w, _tree(node)) for w, node in trees], stats, bad / n
+    return [(w, _tree(node)) for w, node in trees], stats, n, bad
 
 
 def _tree(node) -> object:
@@ -123,12 +147,14 @@ def _tree(node) -> object:
     return (int(split.featureIndex()), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def _suffix_columns(name: Column, stats: dict[str, tuple[float, float]], base: float) -> tuple[Column, Column]:
-    """Smoothed block rate and frequency of a suffix, from the at most SAMPLE_URLS known ones."""
-    top = sorted(stats.items(), key=lambda x: (-x[1][1], x[0]))[:200]  # rarer ones are as good as unknown
-    table = F.create_map(*[x for s, (r, f) in top for x in (F.lit(s), F.array(F.lit(r), F.lit(f)))])
-    found = F.element_at(table, name)
-    return F.coalesce(F.get(found, 0), F.lit(base)), F.coalesce(F.get(found, 1), F.lit(0.0))
+def _with_stats(rows: DataFrame, stats: DataFrame, n: int, bad: int) -> DataFrame:
+    """``rows`` with ``suffix_rate`` and ``suffix_freq`` of their ``suffix``; the table is broadcast if it is counted to be small."""
+    sizes = rows.groupBy("suffix").agg(F.count("*").alias("suffix_size"))
+    groups = stored(sizes.join(stats, "suffix", "left").select("suffix", "suffix_size", *_rate_and_freq(n, bad)), "suffixes")
+    total = groups.agg(F.sum("suffix_size").alias("size"), F.count("*").alias("groups"), F.sum(F.length("suffix")).alias("chars")).first()
+    if total["groups"] <= BROADCAST_ROWS and (total["chars"] or 0) <= 50 * BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), "suffix")
+    return join_unique(rows, groups, ["suffix"], "suffix_size", total["size"])
 
 
 def _expression(tree: object) -> Column:
@@ -155,9 +181,11 @@ def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, id_col: str
         score = F.lit(0.0)
         scored = rows.withColumn("score", score)
     else:
-        trees, stats, base = model
-        rate, freq = _suffix_columns(suffix(F.col("host")), stats, base)
-        rows = rows.select("*", *lexical(F.col("url"), F.col("host"), F.col("path")), rate.alias("suffix_rate"), freq.alias("suffix_freq"))
+        trees, stats, n, bad = model
+        if features == FEATURES:
+            rows = _with_stats(rows.withColumn("suffix", suffix(F.col("host"))), stats, n, bad)
+        drop(stats)
+        rows = rows.select("*", *lexical(F.col("url"), F.col("host"), F.col("path")))
         margin = sum((F.lit(w) * _expression(t) for w, t in trees), F.lit(0.0))
         scored = rows.withColumn("score", 1 / (1 + F.exp(-2 * margin)))
     return scored.select(

@@ -225,6 +225,35 @@ def test_undecided_urls_are_left_to_the_trees(spark):
     assert sum(rows[i]["verdict"] == "allow" for i in range(300, 400)) > 95
 
 
+def test_every_suffix_counts(spark):
+    # 400 suffixes that are alike but for their labels; the old table held the 200 commonest.
+    url = lambda k, i: f"https://site.example.s{k:03d}/story-{i:03d}"
+    train = spark.createDataFrame([(url(k, i), k % 2) for k in range(400) for i in range(10)], "url string, label int")
+    pages = spark.createDataFrame([(k, url(k, 900)) for k in range(400)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.filter_urls(pages, train, rules=()).collect()}
+    assert [got[k] for k in range(400)] == ["allow", "block"] * 200
+
+
+def test_repeated_urls_leave_the_others_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "SAMPLE_URLS", 200)
+    rows = [(f"https://site{i}.example.org/articles/story-{i}", 0) for i in range(60)] + [(f"http://x{i}-{i * 7919}.biz/{i * 104729}?a={i}&b={i * 3}", 1) for i in range(60)]
+    urls = spark.createDataFrame(rows, "url string, label int")
+    first = urls.orderBy(F.xxhash64("url")).first()
+    train = urls.unionByName(spark.range(500).select(F.lit(first["url"]).alias("url"), F.lit(first["label"]).alias("label")))
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.filter_urls(pages, train, rules=()).collect()}
+    assert sum(got[i] == ("block" if label else "allow") for i, (_, label) in enumerate(rows)) > 115
+
+
+def test_joined_suffixes_equal_broadcast_ones(spark, monkeypatch):
+    rows = [(f"https://h{i}.s{i % 30}/p{i}", int(i % 30 > 20)) for i in range(300)]
+    pages = spark.createDataFrame([(i, f"https://h.s{i % 40}/q{i}") for i in range(80)] + [(99, None)], "page_id long, url string")
+    train = spark.createDataFrame(rows, "url string, label int")
+    want = sorted(urlfilter.filter_urls(pages, train, rules=()).collect())
+    monkeypatch.setattr(urlfilter, "BROADCAST_ROWS", 0)
+    assert sorted(urlfilter.filter_urls(pages, train, rules=()).collect()) == want and len(want) == 81
+
+
 def brute_targets(sizes, weights, total, cap):
     target = {s: 0.0 for s in sizes}
     free, left = set(sizes), total
