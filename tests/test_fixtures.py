@@ -80,6 +80,14 @@ def test_combine(spark, rows):
     assert attrs == {"Conventions": "DW-0.1", "time_start": "2000-01-01", "run": at.SEE_FILES}
 
 
+def test_long_lists_of_values_are_whole(spark):
+    files = spark.range(2400).selectExpr("'p' as project_id", "cast(id as int) as file_ord")
+    names = "explode(map('time_zone', cast(file_ord % 1200 as string), 'time_stamp', cast(file_ord as string), 'time_start', cast(file_ord % 1200 as string))) as (attr, value)"
+    got = {r["attr"]: r["value"] for r in at.merge_attrs(files.selectExpr("*", names)).collect()}
+    assert json.loads(got["time_zone"]) == sorted(str(i) for i in range(1200))
+    assert got["time_stamp"] == at.SEE_EACH and got["time_start"] == "0"
+
+
 def test_inline_values(rows):
     values = udf.decode_chunks(rf.parse_refs(rows), rf.parse_var_meta(rows)).first()["values"]
     assert values == [2.0]
