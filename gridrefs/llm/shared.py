@@ -9,7 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +37,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gridrefs-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/gridrefs/{name}-{uuid.uuid4().hex[:16]}"
+    return f"{_run_folder(spark, base)}/{name}-{uuid.uuid4().hex[:16]}"
+
+
+def _run_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/gridrefs/{spark.sparkContext.applicationId}"
+
+
+def delete_all(spark: SparkSession) -> None:
+    """Delete whatever the operators stored for this application, once their results are written elsewhere."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        delete(spark, _run_folder(spark, base))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -63,6 +79,16 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of whole rows that hold about ``limit`` bytes of a text column, so that a task's memory is bounded."""
+    for batch in batches:
+        run = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)
@@ -91,28 +117,43 @@ def join_unique(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """At most ``n`` rows, those of the smallest hashes of a column; the same at each run.
+    """At most ``n`` rows of distinct keys, those of the smallest hashes; the same at each run.
 
-    A cut of the hash that four times as many rows should pass comes first, so that the order is
-    taken over a few rows only, however large the table.
+    Of rows with one key the smallest counts. A cut of the hash that four times as many keys should
+    pass comes first, so that few rows are grouped and ordered, however large the table and however
+    often a key repeats; should too few pass it, the cut is widened.
     """
     hashed = F.xxhash64(key)
-    share = min(1.0, 4 * n / max(1, df.count()))
-    few = df if share == 1.0 else df.where(hashed < int(-(1 << 63) + share * ((1 << 64) - 1)))
-    return few.orderBy(hashed, *[c for c, kind in df.dtypes if kind == "string" and c != key]).limit(n)
+    keys = df.agg(F.approx_count_distinct(key).alias("n")).first()["n"]
+    share = min(1.0, 4 * n / max(1, keys))
+    while True:
+        few = df if share == 1.0 else df.where(hashed < int(-(1 << 63) + share * ((1 << 64) - 1)))
+        first = few.groupBy(key).agg(F.min(F.struct(*[c for c in df.columns if c != key])).alias("row")).select(key, "row.*") if len(df.columns) > 1 else few.distinct()
+        out = first.select(*df.columns).orderBy(hashed, key).limit(n)
+        if share == 1.0 or out.count() == n:
+            return out
+        share = min(1.0, 8 * share)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
-    """Broadcast hint if the frame (already stored, so cheap to measure) has at most ``limit`` narrow rows.
+def is_small(df: DataFrame, limit: int | None = None, weight: Column | None = None) -> bool:
+    """Whether a frame (already stored, so cheap to measure) may be broadcast: at most ``limit`` narrow rows.
 
     ``weight`` counts the values of a row whose width varies; their sum is then held to the limit.
     """
+    limit = BROADCAST_ROWS if limit is None else limit
     if weight is None:
-        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-    return F.broadcast(df) if (df.agg(F.sum(weight).alias("w")).first()["w"] or 0) <= limit else df
+        return df.limit(limit + 1).count() <= limit
+    return (df.agg(F.sum(weight).alias("w")).first()["w"] or 0) <= limit
+
+
+def maybe_broadcast(df: DataFrame, limit: int | None = None, weight: Column | None = None) -> DataFrame:
+    """Broadcast hint for a frame that :func:`is_small`."""
+    return F.broadcast(df) if is_small(df, limit, weight) else df
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` whose id is not in the one column of ``gone``; the ids are broadcast if they are counted to be few."""
-    ids = stored(gone.distinct().toDF("__gone_id"), "gone")
-    return docs.join(maybe_broadcast(ids), F.col(id_col) == F.col("__gone_id"), "left_anti")
+def without(docs: DataFrame, keys: list[Column], gone: DataFrame) -> DataFrame:
+    """``docs`` whose keys are not among the rows of ``gone`` (a null equals a null); those are broadcast if they are counted to be few."""
+    names = [f"__gone_{k}" for k in range(len(keys))]
+    ids = stored(gone.toDF(*names).distinct(), "gone")
+    same = [k.eqNullSafe(F.col(c)) for k, c in zip(keys, names, strict=True)]
+    return docs.join(maybe_broadcast(ids), reduce(lambda a, b: a & b, same), "left_anti")

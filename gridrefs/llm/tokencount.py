@@ -22,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import open_fs, shared_folder, stored
+from .shared import by_bytes, open_fs, shared_folder, stored
 from .tokens import encoder
 
 #: Ids a block.
 BLOCK_IDS = 4 << 20
-BATCH_ROWS = 500
 
 
 def write_flat(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, str, int]:
@@ -37,7 +36,6 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
     folder and the bytes an id takes.
     """
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     folder = shared_folder(spark, "token-flat")
     fs, path = open_fs(folder)
     fs.create_dir(path)
@@ -48,10 +46,10 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
         enc = encoder(tokenizer, keep_special_text=True)
         end = np.array([end_id], enc.dtype).tobytes()
         path, out, n, ids = f"{top}/flat-{uuid.uuid4().hex}.ids", None, 0, 0
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             if out is None:
                 out = fs.open_output_stream(path)
-            got = enc.encode([x or "" for x in batch.column(1).to_pylist()])
+            got = enc.encode(batch.column(1))
             for x in got:
                 out.write(x + end)
                 ids += len(x) // enc.dtype.itemsize + 1

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import hash_sample, open_fs, shared_folder, stored
+from .shared import by_bytes, hash_sample, open_fs, shared_folder, stored
 from .tokens import encoder
 
 MAGIC = b"GTOK0001"
@@ -38,14 +38,12 @@ HEAD = "<8s32sI"
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("before", "<u8"), ("n_ids", "<u4"), ("size", "<u4")])
 FOOT = "<QQQQ"
 
-#: Documents in the sample that the dictionary is trained on, and how much of each.
+#: Documents in the sample that the dictionary is trained on, and characters of each that serve for it.
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 50_000
 DICTIONARY_BYTES = 64 << 10
 #: Input text characters a file.
 FILE_CHARS = 64 << 20
-#: Rows of an Arrow batch: a bounded number of whole texts.
-BATCH_ROWS = 500
 
 
 def train_dictionary(arrays: list[bytes]) -> bytes:
@@ -69,15 +67,16 @@ def _decompressor(data: bytes) -> zstandard.ZstdDecompressor:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
-    """Texts of a bounded sample of documents, the same at each run."""
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
-    return list(hash_sample(rows, "doc_id", SAMPLE_DOCS).toPandas()["text"])
+    """Beginnings of the texts of a bounded sample of documents, one for each id, the same at each run."""
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    ids = [r["doc_id"] for r in hash_sample(named.select("doc_id"), "doc_id", SAMPLE_DOCS).collect()]
+    rows = named.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    return [r["text"] for r in rows.orderBy("doc_id").collect()]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_chars: int = FILE_CHARS) -> tuple[DataFrame, str]:
     """Encode and write all documents; returns the manifest (one row a file) and the folder."""
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     folder = shared_folder(spark, "token-ids")
     sample = _sample(docs, id_col, text_col)
     size = docs.count() * sum(map(len, sample)) // max(1, len(sample))  # an estimate; it only sets the number of files
@@ -96,8 +95,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
         data, bounds = shared.value
         enc, pack = encoder(tokenizer), _compressor(data)
         end = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
-            ids = [x + end for x in enc.encode([x or "" for x in batch.column(1).to_pylist()])]
+        for batch in by_bytes(batches, 1):
+            ids = [x + end for x in enc.encode(batch.column(1))]
             keys = batch.column(0)
             part = np.searchsorted(bounds, keys.to_pandas().fillna(-np.inf).to_numpy("float64"), side="left") if bounds else np.zeros(len(ids), int)
             yield pa.RecordBatch.from_arrays(
