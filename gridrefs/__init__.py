@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
+import zipfile
 from pathlib import Path
 
 
 def on_workers(spark) -> None:
-    """Let Python workers find this package where it lies, if it is not installed there."""
-    env, top = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if top not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, top])
+    """Ship this package to the Python workers of a session, once for each Spark context."""
+    context, here = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(context, "_gridrefs_shipped", False):
+        return
+    path = f"{tempfile.mkdtemp(prefix='gridrefs-')}/gridrefs.zip"  # Spark's file server sends it from here
+    with zipfile.ZipFile(path, "w") as z:
+        for source in sorted(here.rglob("*.py")):
+            z.write(source, source.relative_to(here.parent))
+    context.addPyFile(path)
+    context._gridrefs_shipped = True
