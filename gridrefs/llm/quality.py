@@ -1,22 +1,26 @@
 """Quality classifier by compression with two zstandard dictionaries.
 
 One dictionary is trained on good, one on bad labelled texts. A text costs fewer bytes with the
-dictionary of its own kind, so the difference of both sizes, over their sum, tells the kinds
-apart; texts are compressed whole. A logistic curve, fitted on labelled texts that the
-dictionaries have not seen, turns the difference and the compression ratio into a score.
-
-The fit takes a bounded sample: at most ``SAMPLE_DOCS`` labelled texts of each class, of at most
-``SAMPLE_CHARS`` characters each, chosen by a hash. Every second one trains its
-dictionary, the others the curve. Scoring covers all rows and whole texts, without a shuffle.
-
-Cases: null and empty texts get the curve's value at zero difference; rows with other labels
+dictionary of its own kind, so the difference of both sizes, over the text's length, tells the
+kinds apart. Whole texts are compressed, in parts of ``PART`` bytes, each on its own: a dictionary
+says little about the rest of a long text, which refers to itself. A logistic curve, fitted on
+labelled texts that the dictionaries have not seen, turns the difference into a score; as a short
+text's difference says less, the curve's slope and offset change with length up to ``FULL`` bytes.
+Nothing else than the two sizes and the length enters.
+
+The fit takes a bounded sample: at most ``SAMPLE_DOCS`` labelled texts of each class and
+``SAMPLE_CHARS`` characters of them together, chosen by a hash among whole texts (the shortest one
+if no text is that short). Every second one trains its dictionary, the others the curve. Scoring
+covers all rows and whole texts, without a shuffle.
+
+Cases: null and empty texts get the curve's value at zero difference and length; rows with other labels
 than 0 and 1 are not learnt from; without labels of both classes the score is 0.5; repeated rows
 get equal scores; an empty table gives an empty result; other columns pass through by struct.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,14 +29,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hash_sample
+from .shared import drop, hash_sample, stored
 
 SAMPLE_DOCS = 800
-SAMPLE_CHARS = 30_000
+SAMPLE_CHARS = 8_000_000
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 3
 THRESHOLD = 0.3
-BATCH_ROWS = 500
+#: Bytes that are compressed at a time, and bytes from which the curve no longer changes with length.
+PART, FULL = 1000, 500
 
 
 @dataclass(frozen=True)
@@ -57,16 +62,19 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=data, write_content_size=False, write_dict_id=False)
 
 
-def features(texts: list[bytes], good: bytes, bad: bytes) -> np.ndarray:
-    """For each text: size difference (plain and damped for short texts), compression ratio, how far it falls below 0.3, and 1."""
+def sizes(text: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> tuple[int, int, int]:
+    """Bytes of a text's parts with either dictionary, and of the text."""
+    parts = [text[i : i + PART] for i in range(0, len(text), PART)]
+    return sum(len(good.compress(p)) for p in parts), sum(len(bad.compress(p)) for p in parts), len(text)
+
+
+def features(texts: Iterable[bytes], good: bytes, bad: bytes) -> np.ndarray:
+    """For each text: size difference over length, the same damped for short texts, length up to FULL, and 1."""
     a, b = _compressor(good), _compressor(bad)
-    size = np.array([(len(a.compress(t)), len(b.compress(t)), len(t)) for t in texts], float).reshape(-1, 3)
-    diff = (size[:, 1] - size[:, 0]) / (size[:, 0] + size[:, 1])
-    ratio = np.minimum(1.5, size[:, :2].min(axis=1) / np.maximum(size[:, 2], 1))
-    long_ = np.minimum(1.0, size[:, 2] / 500)  # a short text's difference says less
-    out = np.stack([diff * 20, diff * 20 * long_, (ratio - 0.4) * long_, np.maximum(0, 0.3 - ratio) * 10, np.ones(len(diff))], axis=1)
-    out[size[:, 2] == 0, :-1] = 0
-    return out
+    size = np.array([sizes(t, a, b) for t in texts], float).reshape(-1, 3)
+    diff = 20 * (size[:, 1] - size[:, 0]) / np.maximum(size[:, 2], 1)
+    length = np.minimum(1.0, size[:, 2] / FULL)
+    return np.stack([diff, diff * length, length, np.ones(len(diff))], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -82,10 +90,18 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> Model | None:
     """Fit on (text, label 0 or 1); None where a class has no text."""
     texts: dict[int, list[bytes]] = {}
+    rows = stored(labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(text_col).alias("hash")).where("text is not null"), "quality-sample")
     for label in (0, 1):
-        rows = labelled.where((F.col(label_col) == label) & (F.length(text_col) <= SAMPLE_CHARS)).select(F.col(text_col).alias("text"))
-        rows = rows.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCS).toPandas()
-        texts[label] = [t.encode() for t in dict.fromkeys(rows["text"])]
+        own = rows.where(F.col("label") == label)
+        lengths = [(r["hash"], r["n"]) for r in own.groupBy("hash").agg(F.max(F.length("text")).alias("n")).orderBy("hash").limit(SAMPLE_DOCS).collect()]
+        chosen, held = [], 0
+        for h, n in lengths:
+            if held + n <= SAMPLE_CHARS:
+                chosen.append(h)
+                held += n
+        chosen = chosen or [h for h, _ in sorted(lengths, key=lambda x: x[1])[:1]]
+        texts[label] = [r["text"].encode() for r in own.where(F.col("hash").isin(chosen)).groupBy("hash").agg(F.min("text").alias("text")).orderBy("hash").collect()]
+    drop(rows)
     if not (texts[0] and texts[1]):
         return None
     good, bad = _train(texts[1][::2]), _train(texts[0][::2])
@@ -98,15 +114,13 @@ def predict(model: Model | None, texts: list[str | None]) -> np.ndarray:
     """Scores between 0 and 1; higher: label 1 likelier."""
     if model is None:
         return np.full(len(texts), 0.5)
-    x = features([(t or "").encode() for t in texts], model.good, model.bad)
+    x = features(((t or "").encode() for t in texts), model.good, model.bad)
     return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """``docs`` as struct ``doc`` with its score."""
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    shared = spark.sparkContext.broadcast(model)  # two dictionaries of bounded size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
