@@ -3,9 +3,9 @@
 Features of a URL: length, path depth, share of digits, character entropy, parameters, labels of
 the host, longest host label, hyphens, and statistics of the host's suffix (smoothed share of
 blocked URLs and frequency among the labelled). The trees are trained from labelled URLs on a
-bounded sample. Without a labelled table they learn from the URLs that a rule decides; the others
-are unlabelled, and the suffix statistics are left out, as a rule for one part of a suffix would
-give its label to all of it. The trained trees are turned into SQL expressions, so that scoring all
+bounded sample. Without a labelled table, a short list of seed words labels the URLs: one whose host
+has such a word is bad, the others count as good; the trees see no words, so they also block hosts
+that are built like those. The trained trees are turned into SQL expressions, so that scoring all
 URLs is one scan without a shuffle. Suffixes are counted over all distinct labelled URLs and joined
 by their counts; only the trees' sample is bounded.
 
@@ -33,8 +33,8 @@ TREES, DEPTH, SEED = 12, 3, 7
 #: Score from which a URL without a rule is blocked.
 THRESHOLD = 0.5
 FEATURES = ("length", "depth", "digit_ratio", "entropy", "params", "labels", "longest", "hyphens", "suffix_rate", "suffix_freq")
-#: Those that do not look at other URLs of the suffix.
-LEXICAL = FEATURES[:-2]
+#: Words of hosts that label a URL as bad where there is no labelled table.
+SEED_WORDS = ("adult", "ads", "bet", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -112,11 +112,35 @@ def _sample(urls: DataFrame) -> DataFrame:
     return sample
 
 
-def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> tuple[list[tuple[float, object]], DataFrame, int, int] | None:
+def seed_labels(urls: DataFrame, words: tuple[str, ...] = SEED_WORDS) -> DataFrame:
+    """(url, label) of URLs with a host: 1 if a part of the host, between full stops and hyphens, is a seed word."""
+    host, _ = host_and_path(F.col("url"))
+    rows = urls.select("url", host.alias("host")).where("host <> ''")
+    return rows.select("url", F.arrays_overlap(F.split("host", "[.-]"), F.lit(list(words))).cast("int").alias("label"))
+
+
+def _fit(ready: DataFrame):
+    """The boosted trees' model of (FEATURES, label)."""
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(ready).select("features", "label")
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32).fit(ready)
+
+
+def _trees(model) -> list[tuple[float, object]]:
+    """(weight, tree) of a model."""
+    return [(w, _tree(t._call_java("rootNode"))) for t, w in zip(model.trees, model.treeWeights, strict=True)]
+
+
+def probability(trees: list[tuple[float, object]]) -> Column:
+    """Probability of label 1 by the trees, from columns named as FEATURES."""
+    margin = sum((F.lit(w) * _expression(t) for w, t in trees), F.lit(0.0))
+    return 1 / (1 + F.exp(-2 * margin))
+
+
+def train(labelled: DataFrame) -> tuple[list[tuple[float, object]], DataFrame, int, int] | None:
     """Trees with weights, (suffix, n, bad), and n and bad over all, from (url, label 0 or 1: block); None without both labels.
 
     Repeated rows count once. The suffixes are counted over all labelled URLs; the sample is for the
-    trees alone. ``features`` are the first ones of ``FEATURES``.
+    trees alone.
     """
     host, path = host_and_path(F.col("url"))
     urls = stored(labelled.where("url is not null and label is not null").select("url", F.col("label").cast("int").cast("string").alias("label")).distinct(), "urls")
@@ -131,12 +155,10 @@ def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> tuple[li
     sample = sample.coalesce(1).cache()  # bounded; one partition makes the trees the same at each run
     known = stats.join(F.broadcast(sample.select("suffix").distinct()), "suffix")  # at most as many as sampled URLs
     ready = sample.join(F.broadcast(known), "suffix", "left").select("*", *_rate_and_freq(n, bad))
-    ready = VectorAssembler(inputCols=list(features), outputCol="features").transform(ready).select("features", "label")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxBins=32).fit(ready)
+    trees = _trees(_fit(ready))
     sample.unpersist()
     drop(urls)
-    trees = [(w, t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode")) for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    return [(w, _tree(node)) for w, node in trees], stats, n, bad
+    return trees, stats, n, bad
 
 
 def _tree(node) -> object:
@@ -167,27 +189,20 @@ def _expression(tree: object) -> Column:
 def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """One row a page: page_id, host, path, rule, verdict, score.
 
-    ``labelled`` has url and label (1: block); without it, the rules label the URLs that they decide,
-    and the trees learn from those by the lexical features alone.
+    ``labelled`` has url and label (1: block); without it, seed words label the pages' own URLs.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", apply_rules(F.col("host"), F.col("path"), rules))
-    features = FEATURES
-    if labelled is None:
-        labelled, features = rows.where("hit is not null").select("url", (F.col("hit.verdict") == "block").cast("int").alias("label")), LEXICAL
-    model = train(labelled, features)
+    model = train(seed_labels(rows) if labelled is None else labelled)
     if model is None:
-        score = F.lit(0.0)
-        scored = rows.withColumn("score", score)
+        scored = rows.withColumn("score", F.lit(0.0))
     else:
         trees, stats, n, bad = model
-        if features == FEATURES:
-            rows = _with_stats(rows.withColumn("suffix", suffix(F.col("host"))), stats, n, bad)
+        rows = _with_stats(rows.withColumn("suffix", suffix(F.col("host"))), stats, n, bad)
         drop(stats)
         rows = rows.select("*", *lexical(F.col("url"), F.col("host"), F.col("path")))
-        margin = sum((F.lit(w) * _expression(t) for w, t in trees), F.lit(0.0))
-        scored = rows.withColumn("score", 1 / (1 + F.exp(-2 * margin)))
+        scored = rows.withColumn("score", probability(trees))
     return scored.select(
         "page_id",
         "host",
