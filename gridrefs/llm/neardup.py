@@ -11,13 +11,17 @@ band's bucket all members are compared with the smallest member; members of one
 no more comparing, since a further link can't change it. Only pairs of different components that
 share a bucket are left. Their signatures are compared in tiles of bounded size, so a bucket never
 meets in one task; a tile returns a spanning forest, and so do the tiles that then compare the
-whole sets of each family of agreeing members, all pairs but those inside the family's largest
-component. Pairs never become rows, and no candidate is capped or dropped.
+whole sets, as 64-bit shingle hashes, of each family of agreeing members: all pairs but those inside
+the family's largest component. Tiles are bounded in members and in bytes. The forests' links are
+confirmed on the words as well. (Two shingles of a pair of texts with n shingles share a hash with
+probability n * n / 2^64; n_shingles counts hashes.) Pairs never become rows, and no candidate is
+capped or dropped.
 
 Cases: null, empty and white-space texts have an empty set, no links and their own id as
 component; fewer than five words are one shingle; each repeated row is returned, with the
 component of its own text, and rows that share an id but not the text share their links; null ids
-get a null component and are kept; an empty table gives an empty result; other columns are not read.
+get a null component and are kept; ids are integers; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import drop, join_unique, stored, without
+from .shared import by_bytes, drop, join_unique, stored, without
 
 WORDS = 5
 #: Linked if 100 * intersection >= PERCENT * union.
@@ -40,11 +44,11 @@ HASHES, BANDS = 128, 32
 #: Equal minima that a pair of signatures needs: five standard deviations below 0.75 * 128.
 AGREE = 72
 SEED = 20_240_229
-#: Members of a bucket that a tile holds.
+#: Members, and bytes of their sets, that a side of a tile holds.
 TILE = 1024
+TILE_BYTES = 32 << 20
 #: Words of a text that are hashed at a time, so that very long texts take bounded memory.
 CHUNK_WORDS = 100_000
-BATCH_ROWS = 500
 
 _random = np.random.default_rng(SEED)
 _A = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,7 +139,7 @@ def shingles(text: str | None) -> set[tuple[bytes, ...]]:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    for batch in batches:
+    for batch in by_bytes(batches, 1):
         n, lo, hi, bands, sigs = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             h = shingle_hashes(words_of(text))
@@ -170,14 +174,14 @@ def _agreeing(a: Column, b: Column) -> Column:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last: tuple = (None, None)
-    for batch in batches:
+    last: tuple = (None, None, None)
+    for batch in by_bytes(batches, 2):
         a_ids, b_ids, a_texts, b_texts = (c.to_pylist() for c in batch.columns)
         keep = []
         for b_id, x, y in zip(b_ids, a_texts, b_texts, strict=True):
-            if last[0] != b_id:
-                last = (b_id, shingles(y))
-            s, t = shingles(x), last[1]
+            if last[:2] != (b_id, y):
+                last = (b_id, y, shingles(y))
+            s, t = shingles(x), last[2]
             both = len(s & t)
             keep.append(100 * both >= PERCENT * (len(s) + len(t) - both))
         yield pa.RecordBatch.from_arrays([pa.array(a_ids, pa.int64()), pa.array(b_ids, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -260,18 +264,24 @@ def _intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.n
     return out
 
 
+def _hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in by_bytes(batches, 4):
+        sets = [shingle_hashes(words_of(t)).tobytes() for t in batch.column(4).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], names=[*batch.schema.names[:4], "hashes"])
+
+
 def _links_in_families(members: DataFrame) -> DataFrame:
     """Links (a, b) between components of a family, enough to connect all that are linked.
 
-    ``members``: family, rep, comp, n_family, n_big, is_big, text. Members outside a family's
-    largest component meet each other and that component's members in tiles; the whole sets of
-    all pairs of a tile are compared. The largest component is never compared with itself.
+    ``members``: family, rep, comp, is_big, hashes. Members outside a family's largest component
+    meet each other and that component's members in tiles; the whole sets of all pairs of a tile
+    are compared. The largest component is never compared with itself.
     """
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, kind, i, j = key
         comp = pdf["comp"].to_numpy()
-        sets = [shingle_hashes(words_of(t)) for t in pdf["text"]]
+        sets = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
         size = np.array([len(h) for h in sets])
         if kind == "U":
             x, y = np.flatnonzero(pdf["part"] == int(i)), np.flatnonzero(pdf["part"] == int(j))
@@ -288,19 +298,21 @@ def _links_in_families(members: DataFrame) -> DataFrame:
                 out.append((x[p], y[q]))
         return _edges(pdf["rep"].to_numpy(), out)
 
-    parts = lambda n: F.expr(f"greatest(1L, ({n} + {TILE - 1}) div {TILE})")
-    rows = members.withColumns({"nu": parts("(n_family - n_big)"), "nv": parts("n_big")}).withColumn("part", F.expr("pmod(xxhash64(rep), if(is_big, nv, nu))"))
+    parts = lambda side: F.expr(f"greatest(1L, (n_{side} + {TILE - 1}) div {TILE}, (bytes_{side} + {TILE_BYTES - 1}) div {TILE_BYTES})")
+    total = lambda name, value, cond: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long").alias(name)
+    big, length = F.col("is_big"), F.octet_length("hashes")
+    sizes = members.groupBy("family").agg(*[total(f"{n}_{side}", v, c) for side, c in (("u", ~big), ("v", big)) for n, v in (("n", F.lit(1)), ("bytes", length))])
+    sizes = sizes.select("family", parts("u").alias("nu"), parts("v").alias("nv"))
+    rows = members.join(sizes, "family").withColumn("part", F.expr("pmod(xxhash64(rep), if(is_big, nv, nu))"))
     among = F.transform(F.expr("sequence(0L, nu - 1)"), lambda q: F.struct(F.lit("U").alias("kind"), F.least(q, F.col("part")).alias("i"), F.greatest(q, F.col("part")).alias("j")))
     to_big = F.transform(F.expr("sequence(0L, nv - 1)"), lambda q: F.struct(F.lit("V").alias("kind"), F.col("part").alias("i"), q.alias("j")))
     to_rest = F.transform(F.expr("sequence(0L, nu - 1)"), lambda q: F.struct(F.lit("V").alias("kind"), q.alias("i"), F.col("part").alias("j")))
-    tiles = rows.withColumn("tile", F.explode(F.when(F.col("is_big"), to_rest).otherwise(F.concat(among, to_big)))).select("family", "tile.*", "rep", "comp", "part", "is_big", "text")
+    tiles = rows.withColumn("tile", F.explode(F.when(big, to_rest).otherwise(F.concat(among, to_big)))).select("family", "tile.*", "rep", "comp", "part", "is_big", "hashes")
     return tiles.groupBy("family", "kind", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_lo long, set_hi long, bands array<long>, sig binary"), "minhash-signed")
 
@@ -335,15 +347,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Families hold all pairs that are left; their whole texts decide.
     families = stored(connected_components(left.unionByName(across)), "minhash-families")
     members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("family", "rep", F.coalesce("component", "rep").alias("comp"))
-    sizes = members.groupBy("family", "comp").agg(F.count("*").alias("n")).groupBy("family").agg(F.sum("n").alias("n_family"), F.max(F.struct("n", "comp")).alias("big")).select("family", "n_family", F.col("big.n").alias("n_big"), F.col("big.comp").alias("big"))
-    members = stored(members.join(sizes, "family").withColumn("is_big", F.col("comp") == F.col("big")).drop("big"), "minhash-members")
-    more = stored(_links_in_families(members.join(source.select(F.col("doc_id").alias("rep"), "text"), "rep")), "minhash-more")
+    biggest = members.groupBy("family", "comp").agg(F.count("*").alias("n")).groupBy("family").agg(F.max(F.struct("n", "comp")).getField("comp").alias("big"))
+    members = members.join(biggest, "family").select("family", "rep", "comp", (F.col("comp") == F.col("big")).alias("is_big"))
+    members = members.join(source.select(F.col("doc_id").alias("rep"), "text"), "rep").select("family", "rep", "comp", "is_big", "text")
+    members = stored(members.mapInArrow(_hash_sets, "family long, rep long, comp long, is_big boolean, hashes binary"), "minhash-members")
+    forests = stored(_links_in_families(members).distinct(), "minhash-forests")
+    more = stored(confirm_links(forests, _texts_of(source, forests)), "minhash-more")
     final = stored(connected_components(links.unionByName(more)), "minhash-final")
 
     # Sets to components, documents to sets.
     by_set = stored(sets.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("set_lo", "set_hi", "members", F.coalesce("component", "rep").alias("component_id")), "minhash-by-set")
     rows = stored(signed.select("doc_id", "n_shingles", "set_lo", "set_hi"), "minhash-rows")
-    drop(signed, sets, reps, buckets, stars, links, comps, families, members, more, final)
+    drop(signed, sets, reps, buckets, stars, links, comps, families, members, forests, more, final)
     linked = rows.where("n_shingles > 0 and doc_id is not null")
     alone = rows.where("not (n_shingles > 0 and doc_id is not null)").withColumn("component_id", F.col("doc_id"))
     out = join_unique(linked, by_set, ["set_lo", "set_hi"], "members", rows.count()).select("doc_id", "n_shingles", "component_id")
@@ -358,4 +373,4 @@ def _texts_of(source: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that have a near-duplicate of smaller id."""
-    return without(docs, id_col, near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id"))
+    return without(docs, [F.col(id_col)], near_duplicates(docs, id_col, text_col).where("not kept").select("doc_id"))
