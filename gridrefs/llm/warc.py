@@ -1,7 +1,9 @@
 """WARC archives as a Python data source, ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 Files are WARC 1.1 with one gzip member a record; a member's extra field ``SL`` holds its
-compressed and plain length. The driver lists committed files and packs them into partitions.
+compressed and plain length. The driver lists committed files and packs them, or ranges of them,
+into partitions; a manifest holds where a large file may be cut. Archives of other writers, with
+or without gzip, are read as well, a file a partition, where a folder has no manifest.
 Filters on record_type, record_id, target_uri, refers_to and payload_digest are pushed down
 (set ``spark.sql.python.filterPushdown.enabled``): a task inflates a record's headers first and
 steps over the rest of a member that a filter rejects, or that is not wanted because the option
@@ -10,9 +12,14 @@ steps over the rest of a member that a filter rejects, or that is not wanted bec
 A write goes to files with unique names; the commit lists those of successful tasks in a manifest
 file, so what a lost executor left behind is never read.
 
+Payloads: what follows the HTTP head of a response, nothing for a revisit, the whole block of other
+records. payload_length is a response's Content-Length less its HTTP head; a revisit's comes from
+the header X-Payload-Length, null where there is none. A truncated record raises, and so does a
+folder without archives.
+
 Cases: a null html is an empty payload; a null page_id is written as ``null`` and read back as
 null; a null url gives no target URI; repeated page_ids give a record a row, all of them
-responses if theirs is the largest id of their payload; an empty table gives an archive without
+responses if theirs is the largest id of their payload, and share its record id; an empty table gives an archive without
 records and an empty result; other columns are not read.
 """
 
@@ -32,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, StringStartsWith, WriterCommitMessage
 
-from .shared import join_unique, open_fs, shared_folder, stored
+from .shared import drop, is_small, join_unique, open_fs, shared_folder, stored
 
 SCHEMA = "record_type string, record_id string, target_uri string, date string, refers_to string, payload_digest string, payload_length long, payload binary"
 #: Header of each text column, in the order of a record's head.
@@ -81,10 +88,58 @@ def parse_head(head: bytes) -> dict[str, str]:
 
 
 @dataclass
-class Files(InputPartition):
-    """Files that one task reads."""
-
-    paths: tuple[str, ...]
+class Ranges(InputPartition):
+    """(path, first byte, end) that one task reads; both are bounds of records."""
+
+    ranges: tuple[tuple[str, int, int], ...]
+
+
+class _Record:
+    """The plain bytes of the record at a position of a file, as far as they were asked for."""
+
+    def __init__(self, f, path: str, at: int):
+        self.f, self.path, self.at = f, path, at
+        f.seek(at)
+        start = f.read(GZIP.size)
+        self.packed = start[:2] == b"\x1f\x8b"
+        #: Bytes of the gzip member, where it says so.
+        self.size = struct.unpack_from("<I", start, 16)[0] if self.packed and len(start) == GZIP.size and start[3] & 4 and start[12:14] == b"SL" else None
+        self.z = zlib.decompressobj(31) if self.packed else None
+        self.plain = bytearray(b"" if self.packed else start)
+        f.seek(at + len(self.plain))
+
+    def pull(self, n: int) -> None:
+        """Some more plain bytes, not many more than n."""
+        if self.z is None:
+            out = self.f.read(n)
+        else:
+            out = b"" if self.z.eof else self.z.decompress(self.z.unconsumed_tail or self.f.read(n), n)
+        if not out and not (self.z and self.z.unconsumed_tail):
+            raise ValueError(f"{self.path}: the record at byte {self.at} is truncated")
+        self.plain += out
+
+    def find(self, mark: bytes, start: int = 0, end: int | None = None) -> int:
+        """Place of a mark; -1 if it isn't in the first ``end`` bytes."""
+        while (i := self.plain.find(mark, start)) < 0 and (end is None or len(self.plain) < end):
+            self.pull(2048)
+        return i if end is None or i + len(mark) <= end else -1
+
+    def upto(self, n: int) -> bytearray:
+        while len(self.plain) < n:
+            self.pull(65536)
+        return self.plain
+
+    def end(self, n: int) -> int:
+        """Where the next record starts, if this one has n plain bytes."""
+        if self.size is not None:
+            return self.at + self.size
+        if self.z is None:
+            return self.at + n
+        while not self.z.eof:
+            data = self.z.unconsumed_tail or self.f.read(65536)
+            if not self.z.decompress(data, 65536) and not data:
+                raise ValueError(f"{self.path}: the record at byte {self.at} is truncated")
+        return self.f.tell() - len(self.z.unused_data)
 
 
 class WarcReader(DataSourceReader):
@@ -99,23 +154,29 @@ class WarcReader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Files]:
+    def partitions(self) -> list[Ranges]:
         fs, top = open_fs(self.path)
-        found: list[tuple[str, int]] = []
+        found: list[tuple[str, int, int]] = []
         from pyarrow.fs import FileSelector
 
-        for info in sorted(fs.get_file_info(FileSelector(top)), key=lambda i: i.path):
-            if info.base_name.startswith("manifest-"):
-                with fs.open_input_stream(info.path) as f:
-                    found += [(f"{top}/{name}", size) for name, size in json.loads(f.read())]
+        infos = sorted(fs.get_file_info(FileSelector(top)), key=lambda i: i.path)
+        manifests = [i.path for i in infos if i.base_name.startswith("manifest-")]
+        for path in manifests:
+            with fs.open_input_stream(path) as f:
+                for name, size, cuts in json.loads(f.read()):
+                    found += [(f"{top}/{name}", a, b) for a, b in zip([0, *cuts], [*cuts, size], strict=True)]
+        if not manifests:
+            found = [(i.path, 0, i.size) for i in infos if i.base_name.endswith((".warc", ".warc.gz"))]
+            if not found:
+                raise FileNotFoundError(f"no WARC archives in {self.path}")
         packs, size = [[]], 0
-        for name, n in found:
-            if packs[-1] and size + n > PARTITION_BYTES:
+        for path, start, end in found:
+            if packs[-1] and size + end - start > PARTITION_BYTES:
                 packs.append([])
                 size = 0
-            packs[-1].append(name)
-            size += n
-        return [Files(tuple(p)) for p in packs]
+            packs[-1].append((path, start, end))
+            size += end - start
+        return [Ranges(tuple(p)) for p in packs]
 
     def _wanted(self, row: dict[str, str | None]) -> bool:
         for f in self.filters:
@@ -130,7 +191,7 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         fs, _ = open_fs(self.path)
         kinds = {**dict.fromkeys(HEADERS, pa.string()), "payload_length": pa.int64(), "payload": pa.binary()}
         rows: list[tuple] = []
@@ -139,8 +200,8 @@ class WarcReader(DataSourceReader):
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
-        for path in partition.paths:
-            for row in self._records(fs, path):
+        for place in partition.ranges:
+            for row in self._records(fs, *place):
                 rows.append(row)
                 held += len(row[-1] or b"") + 500
                 if held > BATCH_BYTES:
@@ -150,53 +211,36 @@ class WarcReader(DataSourceReader):
         if rows:
             yield batch()
 
-    def _records(self, fs, path: str) -> Iterator[tuple]:
+    def _records(self, fs, path: str, at: int, end: int) -> Iterator[tuple]:
         with fs.open_input_file(path) as f:
-            end, at = f.size(), 0
             while at < end:
-                f.seek(at)
-                start = f.read(min(end - at, 4096))
-                z, size = zlib.decompressobj(31), None
-                if start[3] & 4 and start[12:14] == b"SL":
-                    size = struct.unpack_from("<I", start, 16)[0]
                 # The head first: inflate only until the blank line.
-                plain = z.decompress(start, 2048)
-                while b"\r\n\r\n" not in plain and not z.eof:
-                    plain += z.decompress(z.unconsumed_tail or f.read(65536), 2048)
-                head, _, rest = plain.partition(b"\r\n\r\n")
-                fields = parse_head(head)
+                r = _Record(f, path, at)
+                head = r.find(b"\r\n\r\n")
+                fields = parse_head(bytes(r.plain[:head]))
+                block, length = head + 4, int(fields["content-length"])
                 row: dict[str, str | None] = {c: fields.get(h.lower()) for c, h in HEADERS.items()}
                 for c in ("record_id", "refers_to"):
                     row[c] = row[c] and row[c].strip("<>")
                 row["payload_digest"] = row["payload_digest"] and row["payload_digest"].removeprefix("sha1:")
-                wanted = self._wanted(row)
-                payload = None
-                if size is None or wanted and self.payload:
-                    parts = [rest]
-                    if size is not None:
-                        tail = z.unconsumed_tail + f.read(max(0, size - len(start)))
-                        parts.append(z.decompress(tail))
-                    else:
-                        data = z.unconsumed_tail
-                        while not z.eof:
-                            parts.append(z.decompress(data or f.read(65536)))
-                            data = b""
-                    if size is None:
-                        size = f.tell() - at - len(z.unused_data)
-                    block = b"".join(parts)[: int(fields["content-length"])]
-                    if wanted and self.payload and row["record_type"] == "response":
-                        payload = block.partition(b"\r\n\r\n")[2]
-                at += size
-                if wanted:
-                    yield (*row.values(), int(fields.get("x-payload-length", 0)), payload)
+                if self._wanted(row):
+                    kind, start, given = row["record_type"], block, fields.get("x-payload-length")
+                    if kind == "response":
+                        http = r.find(b"\r\n\r\n", block, block + length)
+                        start = block + length if http < 0 else http + 4
+                    n = block + length - start if kind != "revisit" else int(given) if given else None
+                    payload = bytes(r.upto(block + length)[start : block + length]) if self.payload and kind != "revisit" else None
+                    yield (*row.values(), n, payload)
+                at = r.end(block + length + 4)
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    """A task's file and its size."""
+    """A task's file, its size, and where it may be cut for reading."""
 
     name: str
     size: int
+    cuts: tuple[int, ...]
 
 
 class WarcWriter(DataSourceWriter):
@@ -207,20 +251,22 @@ class WarcWriter(DataSourceWriter):
 
     def write(self, rows: Iterator) -> Written:
         fs, top = open_fs(self.path)
-        name, size, out = f"part-{uuid.uuid4().hex}.warc.gz", 0, None
+        name, size, out, cuts = f"part-{uuid.uuid4().hex}.warc.gz", 0, None, [0]
         for row in rows:
             data = record(row)
+            if size - cuts[-1] >= PARTITION_BYTES:
+                cuts.append(size)
             out = out or fs.open_output_stream(f"{top}/{name}", compression=None)
             out.write(data)
             size += len(data)
         if out is not None:
             out.close()
-        return Written(name, size)
+        return Written(name, size, tuple(cuts[1:]))
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, top = open_fs(self.path)
         with fs.open_output_stream(f"{top}/manifest-{uuid.uuid4().hex}.json") as f:
-            f.write(json.dumps([[m.name, m.size] for m in messages if m and m.size]).encode())
+            f.write(json.dumps([[m.name, m.size, m.cuts] for m in messages if m and m.size]).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         """Files without a manifest are never read."""
@@ -262,9 +308,13 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
     register(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
+    # Only payloads with several pages have revisits; where those are few, no payload is shuffled.
     groups = stored(rows.groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("members")), "warc-groups")
-    total = groups.agg(F.sum("members").alias("n")).first()["n"] or 0
-    known = join_unique(rows, groups, ["digest"], "members", total)
+    repeated = stored(groups.where("members > 1").select("digest", "top"), "warc-repeated")
+    if is_small(repeated):
+        known = rows.join(F.broadcast(repeated), "digest", "left")
+    else:
+        known = join_unique(rows, groups, ["digest"], "members", groups.agg(F.sum("members").alias("n")).first()["n"])
     revisit = (F.octet_length("payload") >= min_bytes) & F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     urn = lambda c: F.concat(F.lit("urn:x-page:"), F.coalesce(c.cast("string"), F.lit("null")))
     records = known.select(
@@ -278,6 +328,7 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
         F.when(~revisit, F.col("payload")).alias("payload"),
     )
     _base32(records, "payload_digest").write.format("warc").mode("append").save(path)
+    drop(groups, repeated)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
