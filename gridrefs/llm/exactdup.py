@@ -4,17 +4,20 @@ Keys are 64-bit hashes of the normalised text. The directory maps key prefixes t
 starts with as many prefix bits as the corpus suggests and doubles while a bucket is overfull,
 splitting only the overfull ones, so buckets have local depths. Bucket sizes are counts of
 distinct texts' bytes, so copies never overfill a bucket. Each bucket, a contiguous key range,
-has one owner task. Before texts move, every batch of rows is folded to its distinct texts, so a
-text that a third of all rows hold arrives at its owner once a batch. The owner reads its range
-in key order, chains entries of equal key, compares their bytes, and appends each distinct text
-to its bucket's file: hash, count, kept id, chain position and the compressed text.
+has one owner task. Before texts move, every task folds its rows to their distinct texts; texts
+whose key over a thousandth of all rows share are dealt out by salt and folded once more, so their
+owner gets a bounded number of copies. The owner reads its range in key order, chains entries of
+equal key, compares their bytes, and appends each distinct text to its bucket's file: hash, count,
+kept id, chain position and the compressed text.
 
-What comes back to the documents is one row a distinct text, by key and SHA-256; the bytes have
-decided the groups, and an owner that met one SHA-256 for two texts would raise.
+The groups are then read back from the bucket files, one row a distinct text with its key and
+SHA-256, and joined to the documents by both; the bytes have decided the groups, and a file with
+one SHA-256 for two texts would raise.
 
 Cases: null text counts as empty and equals empty texts; repeated rows are members like any
-others (all rows with the kept id are kept); a null id is never kept unless all of a group are
-null; an empty table gives an empty result; other columns are not read.
+others (all rows with the kept id are kept); ids are integers or texts, ordered as their type is;
+a null id is never kept unless all of a group are null; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,13 +32,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop, join_unique, lower_ascii, open_fs, shared_folder, stored
+from .shared import by_bytes, drop, join_unique, lower_ascii, open_fs, shared_folder, stored
 
 #: Bytes of distinct texts a bucket should hold at most; raised so that there are at most 2^15 buckets.
 BUCKET_BYTES = 32 << 20
 MAX_DEPTH = 20
-BATCH_ROWS = 1000
-ENTRY = "<QQqII"  # key, rows, kept id, chain position, bytes that follow
+#: Bytes of distinct texts that a task holds to fold its rows.
+FOLD_BYTES = 16 << 20
+#: Tasks that fold the copies of one frequent text before its owner gets them.
+SALTS = 64
+ENTRY = "<QQiII"  # key, rows, bytes of the kept id (-1: null), chain position, bytes of the packed text
 
 
 @dataclass(frozen=True)
@@ -78,104 +84,146 @@ def build_directory(keys: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Direct
         open_, depth = over, depth + 1
 
 
+def _larger(a, b):
+    """The larger id; null is smaller than any."""
+    return a if b is None or a is not None and a >= b else b
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct texts of each batch with their number of rows and largest id."""
-    for batch in batches:
-        found: dict[tuple[int, str], list] = {}
-        for bucket, key, text, i in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    """Distinct texts of (bucket, key, norm, n, top) with their number of rows and largest id, while they fit FOLD_BYTES."""
+    found: dict[tuple[int, str], list] = {}
+    held, kind = 0, None
+
+    def folded() -> pa.RecordBatch:
+        out = [[x[0] for x in found.values()], [k for k, _ in found], [t for _, t in found], [x[1] for x in found.values()], [x[2] for x in found.values()]]
+        found.clear()
+        kinds = [pa.int32(), pa.int64(), pa.string(), pa.int64(), kind]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["bucket", "key", "norm", "n", "top"])
+
+    for batch in by_bytes(batches, 2):
+        kind = batch.column(4).type
+        for bucket, key, text, n, top in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             x = found.get((key, text))
             if x is None:
-                found[key, text] = [bucket, 1, i]
+                found[key, text] = [bucket, n, top]
+                held += len(text)
             else:
-                x[1] += 1
-                x[2] = i if x[2] is None or i is not None and i > x[2] else x[2]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in found.values()], pa.int32()), pa.array([k for k, _ in found], pa.int64()), pa.array([t for _, t in found], pa.string()), pa.array([x[1] for x in found.values()], pa.int64()), pa.array([x[2] for x in found.values()], batch.column(3).type)],
-            names=["bucket", "key", "norm", "n", "top"],
-        )
+                x[1] += n
+                x[2] = _larger(x[2], top)
+        if held > FOLD_BYTES:
+            yield folded()
+            held = 0
+    if found:
+        yield folded()
 
 
 def _owner(folder: str):
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
+    """Write the file of each bucket from rows in key order; yields (bucket, path)."""
 
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = open_fs(folder)
         pack = zstandard.ZstdCompressor(level=1)
         chain: list[list] = []  # entries of the current key: text, rows, kept id
-        state = {"key": None, "bucket": 0, "out": None, "path": "", "at": 0}
-        done: list[tuple] = []
+        now, out, done = (None, None), None, []
 
         def flush() -> None:
-            seen: set[str] = set()
             for position, (text, n, kept) in enumerate(chain):
-                raw = text.encode()
-                sha = hashlib.sha256(raw).hexdigest()
-                if sha in seen:
-                    raise ValueError("two different texts have the same SHA-256")
-                seen.add(sha)
-                data = pack.compress(raw)
-                if state["out"] is None:
-                    state["path"] = f"{top}/bucket-{state['bucket']:06d}-{uuid.uuid4().hex[:8]}.ehx"
-                    state["out"] = fs.open_output_stream(state["path"])
-                state["out"].write(struct.pack(ENTRY, state["key"] & (1 << 64) - 1, n, -1 if kept is None else kept, position, len(data)) + data)
-                done.append((state["key"], sha, kept, n, state["bucket"], state["path"], state["at"], position))
-                state["at"] += struct.calcsize(ENTRY) + len(data)
+                name, data = b"" if kept is None else str(kept).encode(), pack.compress(text.encode())
+                out.write(struct.pack(ENTRY, now[1] & (1 << 64) - 1, n, -1 if kept is None else len(name), position, len(data)) + name + data)
             chain.clear()
 
-        def rows() -> pa.RecordBatch:
-            cols = list(zip(*done, strict=True)) if done else [[]] * 8
-            done.clear()
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["key", "text_sha256", "keep_id", "group_size", "bucket", "path", "at", "position"])
-
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             for bucket, key, text, n, kept in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != state["key"] or bucket != state["bucket"]:
+                if (bucket, key) != now:
                     flush()
-                    if bucket != state["bucket"] and state["out"] is not None:
-                        state["out"].close()
-                        state |= {"out": None, "at": 0}
-                    state |= {"key": key, "bucket": bucket}
+                    if bucket != now[0]:
+                        if out is not None:
+                            out.close()
+                        done.append((bucket, f"{top}/bucket-{bucket:06d}-{uuid.uuid4().hex[:8]}.ehx"))
+                        out = fs.open_output_stream(done[-1][1])
+                    now = (bucket, key)
                 for entry in chain:
                     if entry[0] == text:  # the bytes decide
                         entry[1] += n
-                        entry[2] = kept if entry[2] is None or kept is not None and kept > entry[2] else entry[2]
+                        entry[2] = _larger(entry[2], kept)
                         break
                 else:
                     chain.append([text, n, kept])
-            if done:
-                yield rows()
         flush()
-        if state["out"] is not None:
-            state["out"].close()
-        yield rows()
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in done], pa.int32()), pa.array([p for _, p in done], pa.string())], names=["bucket", "path"])
 
     return own
 
 
+def _entries(folder: str):
+    """Rows of the entries of bucket files, streamed."""
+    names = ["key", "text_sha256", "keep_id", "group_size", "bucket", "path", "at", "position"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        fs, _ = open_fs(folder)
+        unpack = zstandard.ZstdDecompressor()
+        rows: list[tuple] = []
+
+        def batch_of() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+            rows.clear()
+            return out
+
+        for batch in batches:
+            for bucket, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at, seen = 0, set()
+                with fs.open_input_stream(path, buffer_size=1 << 20) as f:
+                    while head := f.read(struct.calcsize(ENTRY)):
+                        key, n, id_size, position, size = struct.unpack(ENTRY, head)
+                        name = None if id_size < 0 else f.read(id_size).decode()
+                        sha = hashlib.sha256(unpack.decompress(f.read(size))).hexdigest()
+                        seen = seen if position else set()
+                        if sha in seen:
+                            raise ValueError("two different texts have the same SHA-256")
+                        seen.add(sha)
+                        rows.append((key - (1 << 64) if key >> 63 else key, sha, name, n, bucket, path, at, position))
+                        at += struct.calcsize(ENTRY) + max(0, id_size) + size
+                        if len(rows) == 10_000:
+                            yield batch_of()
+        if rows:
+            yield batch_of()
+
+    return read
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame, int]:
-    """Write the index; returns its table (one row a distinct text), the documents' keys, and the number of documents."""
+    """Write the index; returns its entries as read from the files (one row a distinct text), the documents' keys, and the number of documents."""
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    kind = docs.schema[id_col].dataType.simpleString()
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("norm")).withColumn("key", F.xxhash64("norm"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm")).withColumn("key", F.xxhash64("norm"))
     prints = stored(rows.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256"), F.octet_length("norm").alias("bytes")), "exact-prints")
-    keys = stored(prints.groupBy("key").agg(F.max("bytes").alias("bytes")), "exact-keys")
+    total = prints.count()
+    keys = stored(prints.groupBy("key").agg(F.max("bytes").alias("bytes"), F.count("*").alias("n")), "exact-keys")
     directory = build_directory(keys, bucket_bytes)
+    hot = stored(keys.where(F.col("n") > max(10_000, total // 1000)).select("key"), "exact-hot")  # at most a thousand
     drop(keys)
     table = spark.createDataFrame(directory.entries(), "entry long, bucket int")  # at most 2^20 short rows
     folder = shared_folder(spark, "exact-index")
     fs, path = open_fs(folder)
     fs.create_dir(path)
-    groups = (
-        rows.join(F.broadcast(table), prefix(F.col("key"), directory.depth) == F.col("entry"))
-        .select("bucket", "key", "norm", "doc_id")
-        .mapInArrow(_fold, "bucket int, key long, norm string, n long, top long")
-        .repartitionById(len(directory.buckets), F.col("bucket"))
-        .sortWithinPartitions("bucket", "key")
-        .mapInArrow(_owner(folder), "key long, text_sha256 string, keep_id long, group_size long, bucket int, path string, at long, position int")
-    )
-    return stored(groups, "exact-groups"), prints, prints.count()
+    fold = lambda x: x.select("bucket", "key", "norm", "n", "top").mapInArrow(_fold, f"bucket int, key long, norm string, n long, top {kind}")
+    dealt = rows.join(F.broadcast(table), prefix(F.col("key"), directory.depth) == F.col("entry")).select("bucket", "key", "norm", F.lit(1).cast("long").alias("n"), F.col("doc_id").alias("top"))
+    if hot.limit(1).count():
+        often = fold(dealt.join(F.broadcast(hot), "key", "left_semi")).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        folded = fold(dealt.join(F.broadcast(hot), "key", "left_anti")).unionByName(fold(often.repartition("key", "salt")))
+    else:
+        folded = fold(dealt)
+    files = folded.repartitionById(len(directory.buckets), F.col("bucket")).sortWithinPartitions("bucket", "key").mapInArrow(_owner(folder), "bucket int, path string")
+    files = stored(files, "exact-files")
+    n = max(1, files.count())
+    entries = files.repartitionById(n, F.pmod(F.col("bucket"), F.lit(n)).cast("int")).mapInArrow(_entries(folder), "key long, text_sha256 string, keep_id string, group_size long, bucket int, path string, at long, position int")
+    return stored(entries.withColumn("keep_id", F.col("keep_id").cast(kind)), "exact-groups"), prints, total
 
 
 def read_entry(path: str, at: int) -> tuple[int, str]:
@@ -183,7 +231,8 @@ def read_entry(path: str, at: int) -> tuple[int, str]:
     fs, p = open_fs(path)
     with fs.open_input_file(p) as f:
         f.seek(at)
-        key, _, _, _, size = struct.unpack(ENTRY, f.read(struct.calcsize(ENTRY)))
+        key, _, id_size, _, size = struct.unpack(ENTRY, f.read(struct.calcsize(ENTRY)))
+        f.seek(at + struct.calcsize(ENTRY) + max(0, id_size))
         return key, zstandard.ZstdDecompressor().decompress(f.read(size)).decode()
 
 
