@@ -96,24 +96,31 @@ def mixing_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     return plan.join(cuts.select("plan_source", "cut_bin", "cut_key"), F.col("source").eqNullSafe(F.col("plan_source")), "left").select("source", "source_size", "weight", "target", "whole", "cut_bin", F.coalesce("cut_key", F.lit("")).alias("cut_key"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """Every document with its plan: struct ``doc`` (all its columns), size, source_size, target, times, taken."""
-    rows = docs.select(F.struct("*").alias("doc")).select(
-        "doc",
-        F.col(f"doc.{source_col}").alias("source"),
-        word_count(F.col(f"doc.{text_col}")).alias("size"),
-        sample_key(F.col(f"doc.{id_col}"), seed).alias("key"),
-    )
-    sizes = stored(rows.select("source", "size", "key"), "mixing-sizes")
-    plan = stored(mixing_plan(sizes, weights, share, max_epochs), "mixing-plan").withColumnRenamed("source", "plan_source")
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, max_epochs: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Sizes (doc_id, source, size, key) of all documents, whose words are counted here and only here, and the plan of each source."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), sample_key(F.col(id_col), seed).alias("key"))
+    sizes = stored(rows, "mixing-sizes")
+    return sizes, stored(mixing_plan(sizes, weights, share, max_epochs), "mixing-plan").withColumnRenamed("source", "plan_source")
+
+
+def _times(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` (with source and key) and their source's plan, with how often each is taken."""
     bin_ = F.substring("key", 1, 3)
     once_more = F.coalesce((bin_ < F.col("cut_bin")) | ((bin_ == F.col("cut_bin")) & (F.col("key") <= F.col("cut_key"))), F.lit(False))
-    times = F.col("whole") + once_more.cast("long")
-    return (
-        rows.join(maybe_broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source")))
-        .withColumn("times", times)
-        .select("doc", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
-    )
+    return rows.join(maybe_broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("times", F.col("whole") + once_more.cast("long"))
+
+
+def mix_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """What the mix takes, a row a document, without its text: doc_id, source, size, source_size, target, times, taken."""
+    sizes, plan = _planned(docs, id_col, text_col, source_col, weights, share, max_epochs, seed)
+    return _times(sizes, plan).select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """Every document, as struct ``doc`` with all its columns, and how often it is taken: doc, source, times."""
+    _, plan = _planned(docs, id_col, text_col, source_col, weights, share, max_epochs, seed)
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col(f"doc.{source_col}").alias("source"), sample_key(F.col(f"doc.{id_col}"), seed).alias("key"))
+    return _times(rows, plan).select("doc", "source", "times")
 
 
 def sample_mix(docs: DataFrame, **options) -> DataFrame:

@@ -56,8 +56,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixing.mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
