@@ -154,10 +154,29 @@ def test_index_entries_read_back(odd_docs):
 
 
 def test_colliding_keys_are_chained(spark):
+    import tempfile
+
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array([0, 0, 0], pa.int32()), pa.array([5, 5, 5], pa.int64()), pa.array(["x", "y", "x"]), pa.array([1, 1, 2], pa.int64()), pa.array([1, 2, 3], pa.int64())], names=["bucket", "key", "norm", "n", "top"])
-    import tempfile
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0, 0], pa.int32()), pa.array([-5, -5, -5], pa.int64()), pa.array(["x", "y", "x"]), pa.array([1, 1, 2], pa.int64()), pa.array([None, -1, 3], pa.int64())], names=["bucket", "key", "norm", "n", "top"])
+    folder = tempfile.mkdtemp()
+    files = [b for b in exactdup._owner(folder)(iter([batch]))]
+    out = [r for b in exactdup._entries(folder)(iter(files)) for r in b.to_pylist()]
+    assert [(r["key"], r["keep_id"], r["group_size"], r["position"]) for r in out] == [(-5, "3", 3, 0), (-5, "-1", 1, 1)]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_exact_dedup_of_text_ids_and_hot_texts(spark, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(exactdup, "max", lambda a, b=0: 3 if a == 10_000 else max(a, b), raising=False)
+    rows = [(f"k{i:02d}", "Same TEXT" if i % 3 else f"text {i}") for i in range(40)] + [(None, "same text"), (None, "alone")]
+    got = exactdup.exact_dedup(spark.createDataFrame(rows, "doc_id string, text string").repartition(5)).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in got), key=repr) == brute_exact(rows)
+
+
+def test_rows_are_folded_across_batches():
+    import pyarrow as pa
 
-    out = [r for b in exactdup._owner(tempfile.mkdtemp())(iter([batch])) for r in b.to_pylist()]
-    assert [(r["keep_id"], r["group_size"], r["position"]) for r in out] == [(3, 3, 0), (2, 1, 1)]
+    one = pa.RecordBatch.from_arrays([pa.array([0] * 50, pa.int32()), pa.array([7] * 50, pa.int64()), pa.array(["x"] * 50), pa.array([1] * 50, pa.int64()), pa.array(range(50), pa.int64())], names=["bucket", "key", "norm", "n", "top"])
+    out = [r for b in exactdup._fold(iter([one, one])) for r in b.to_pylist()]
+    assert out == [{"bucket": 0, "key": 7, "norm": "x", "n": 100, "top": 49}]

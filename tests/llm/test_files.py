@@ -126,14 +126,62 @@ def test_archives_are_standard_gzip_and_filters_are_pushed(spark, pages):
     assert spark.read.format("warc").option("payload", "false").load(path).where("payload is not null").count() == 0
 
 
-def test_members_without_lengths_are_read(spark, tmp_path):
-    row = type("R", (), dict(record_type="response", record_id="urn:x-page:1", target_uri="u", date="d", refers_to=None, payload_digest="A", payload_length=3, payload=b"abc"))
-    data = gzip.compress(gzip.decompress(warc.record(row)))
-    (tmp_path / "x.warc.gz").write_bytes(data + data)
-    (tmp_path / "manifest-0.json").write_text(f'[["x.warc.gz", {2 * len(data)}]]')
+def _row(kind="response", **more):
+    return type("R", (), dict(record_type=kind, record_id="urn:x-page:1", target_uri="u", date="d", refers_to=None, payload_digest="A", payload_length=3, payload=b"abc") | more)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 9\r\n\r\nsoftware:\r\n\r\n"
+    plain = gzip.decompress(warc.record(_row())).replace(b"X-Payload-Length: 3\r\n", b"")
+    far = gzip.decompress(warc.record(_row("revisit", payload=None))).replace(b"X-Payload-Length: 3\r\n", b"")
+    big = gzip.decompress(warc.record(_row(payload=b"z" * 300_000)))
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(map(gzip.compress, (info, plain, far, big, plain))))
+    (tmp_path / "y.warc").write_bytes(info + plain + big + far)
     warc.register(spark)
     rows = spark.read.format("warc").load(str(tmp_path)).collect()
-    assert [bytes(r["payload"]) for r in rows] == [b"abc", b"abc"]
+    want = [("warcinfo", 9, b"software:"), ("response", 3, b"abc"), ("revisit", None, None), ("response", 300_000, b"z" * 300_000)]
+    got = sorted(((r["record_type"], r["payload_length"], r["payload"] and bytes(r["payload"])) for r in rows), key=repr)
+    assert got == sorted([*want, want[1], *want], key=repr)
+    lengths = spark.read.format("warc").option("payload", "false").load(str(tmp_path)).where("record_type = 'response'").select("payload_length").collect()
+    assert sorted(r[0] for r in lengths) == [3, 3, 3, 300_000, 300_000]
+
+
+@pytest.mark.parametrize("payload", ["true", "false"])
+def test_truncated_archives_and_missing_ones_raise(tmp_path, payload):
+    data = warc.record(_row(payload=bytes(range(256)) * 400))
+    own, other = data, gzip.compress(gzip.decompress(data))
+    for whole in (own, other, gzip.decompress(data)):
+        for n in (1, 2, 3, 17, 30, len(whole) // 2):
+            path = tmp_path / "t.warc.gz"
+            path.write_bytes(whole[:n])
+            if payload == "true" or n < 31:
+                with pytest.raises((ValueError, zlib.error)):
+                    list(warc.WarcReader(str(tmp_path), payload == "true").read(warc.Ranges(((str(path), 0, n),))))
+            path.unlink()
+    with pytest.raises(FileNotFoundError):
+        warc.WarcReader(str(tmp_path), True).partitions()
+
+
+def test_large_files_are_cut_at_records(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc, "PARTITION_BYTES", 300)
+    folder = shared_folder(spark, "warc-cut")
+    fs, top = open_fs(folder)
+    writer = warc.WarcWriter(folder)
+    writer.commit([writer.write(iter([_row(record_id=f"urn:x-page:{i}") for i in range(9)]))])
+    parts = warc.WarcReader(folder, True).partitions()
+    assert len(parts) > 3
+    ids = [r for p in parts for b in warc.WarcReader(folder, True).read(p) for r in b.column(1).to_pylist()]
+    assert ids == [f"urn:x-page:{i}" for i in range(9)]
+
+
+def test_many_repeated_payloads(spark, monkeypatch):
+    from gridrefs.llm import shared
+
+    rows = [(i, "u", f"html {i % 7}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(warc.warc_round_trip(pages).collect())
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 2)
+    assert sorted(warc.warc_round_trip(pages).collect()) == want and len(want) == 60
 
 
 def test_pipeline(spark):

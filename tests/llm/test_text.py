@@ -66,7 +66,48 @@ def test_quality_tells_held_out_labels(spark):
     rows = scored.join(labels, "doc_id").where(quality.held_out(F.col("doc_id"))).select("quality", "score").collect()
     good = [r["score"] >= quality.THRESHOLD for r in rows if r["quality"] == 1]
     bad = [r["score"] < quality.THRESHOLD for r in rows if r["quality"] == 0]
-    assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) > 0.85
+    assert sum(good) / len(good) > 0.985 and sum(bad) / len(bad) > 0.93
+    # Area under the curve: pairs of a good and a bad text in the right order.
+    pairs = [(g["score"] > b["score"]) + (g["score"] == b["score"]) / 2 for g in rows if g["quality"] == 1 for b in rows if b["quality"] == 0]
+    assert sum(pairs) / len(pairs) > 0.99
+    # Calibration: scores and labels agree on average in tenths of the rows.
+    rows.sort(key=lambda r: r["score"])
+    tenths = [rows[k * len(rows) // 10 : (k + 1) * len(rows) // 10] for k in range(10)]
+    gaps = [abs(sum(r["score"] - r["quality"] for r in t)) / len(t) for t in tenths]
+    assert sum(gaps) / 10 < 0.03
+
+
+def test_quality_scores_follow_the_sizes_of_whole_texts(odd_docs, spark):
+    import math
+
+    import zstandard
+
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    model = quality.fit(quality.labelled_texts(odd_docs, labels))
+    packs = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), level=quality.LEVEL, write_content_size=False, write_dict_id=False) for d in (model.good, model.bad)]
+    for r in quality.score(odd_docs, model).select("doc.text", "score").collect():
+        raw = (r["text"] or "").encode()
+        good, bad = (sum(len(p.compress(raw[i : i + quality.PART])) for i in range(0, len(raw), quality.PART)) for p in packs)
+        diff, length = 20 * (bad - good) / max(1, len(raw)), min(1, len(raw) / quality.FULL)
+        z = sum(w * x for w, x in zip(model.weights, (diff, diff * length, length, 1), strict=True))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+
+
+def test_quality_is_learnt_from_long_texts_too(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 1000)
+    rows = [("good words of a fine story " * 100, 1), ("bad 0101 $$$ " * 300, 0), ("good words here " * 200, 1), (None, 0)]
+    model = quality.fit(spark.createDataFrame(rows, "text string, label int"))
+    assert model is not None and len(quality.predict(model, ["good words", "bad $$$"])) == 2
+
+
+def test_query_of_quality_has_fold_and_threshold(spark):
+    import zlib
+
+    from gridrefs.llm.queries import QUERIES
+
+    for r in QUERIES["op2_quality"](spark, DATA).collect():
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
 
 
 def test_quality_of_odd_rows(odd_docs, no_docs, spark):
@@ -213,16 +254,39 @@ def test_trees_learn_labelled_urls(spark):
     assert sum(right) / len(right) > 0.97
 
 
-def test_undecided_urls_are_left_to_the_trees(spark):
-    junk = lambda host, i: f"http://x{i}-{i * 7919}.{host}/{i * 104729}?a={i}&b={i * 3}&c=9"
-    plain = lambda host, start, i: f"https://site.{host}/{start}story-of-a-day"
-    decided = [junk("net", i) for i in range(100)] + [plain(f"s{i}.org", "fr/", i) for i in range(100)]
-    bad, good = [junk("com", i) for i in range(100)], [plain(f"s{i}.com", "en/", i) for i in range(100)]
-    pages = spark.createDataFrame(list(enumerate(decided + bad + good)), "page_id long, url string")
-    rows = {r["page_id"]: r for r in urlfilter.filter_urls(pages).collect()}
-    assert all(rows[i]["rule"] for i in range(200)) and not any(rows[i]["rule"] for i in range(200, 400))
-    assert sum(rows[i]["verdict"] == "block" for i in range(200, 300)) > 95
-    assert sum(rows[i]["verdict"] == "allow" for i in range(300, 400)) > 95
+def test_trees_block_hosts_like_those_of_the_seed_words(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    words = tuple(w for w in urlfilter.SEED_WORDS if w not in ("pills", "adult"))
+    host = urlfilter.host_and_path(F.col("url"))[0]
+    train = urlfilter.seed_labels(pages.where((F.crc32(host) % 5 != 0) & ~host.rlike("cheap-pills|adult-x")), words)
+    rows = urlfilter.filter_urls(pages, train).where("rule is null").collect()
+    unseen = [r for r in rows if "cheap-pills" in r["host"] or "adult-x" in r["host"]]
+    seeded = [r for r in rows if set(re.split("[.-]", r["host"])) & set(words)]
+    clean = [r for r in rows if r not in unseen and r not in seeded]
+    blocked = lambda x: sum(r["verdict"] == "block" for r in x) / len(x)
+    assert blocked(unseen) > 0.9 and blocked(seeded) > 0.9 and blocked(clean) < 0.02  # rules alone: 0, 0, 0
+
+
+def test_expressions_equal_the_models_predictions(spark):
+    url = lambda i: f"http://x{i % 9}-{i * 7919}.s{i % 5}/{i * 104729}?a={i}" if i % 3 else f"https://site.s{i % 4}/story/of/day-{i}"
+    rows = spark.createDataFrame([(url(i), float(i % 3 > 0)) for i in range(200)], "url string, label double")
+    host, path = urlfilter.host_and_path(F.col("url"))
+    rows = rows.select("label", *urlfilter.lexical(F.col("url"), host, path), F.lit(0.25).alias("suffix_rate"), F.rand(3).alias("suffix_freq")).cache()
+    model = urlfilter._fit(rows)
+    from pyspark.ml.feature import VectorAssembler
+
+    ready = VectorAssembler(inputCols=list(urlfilter.FEATURES), outputCol="features").transform(rows)
+    for r in model.transform(ready).withColumn("own", urlfilter.probability(urlfilter._trees(model))).select("own", "probability").collect():
+        assert r["own"] == pytest.approx(r["probability"][1], abs=1e-9)
+
+
+def test_urls_of_odd_rows(spark):
+    long = "http://long.example.com/" + "a1" * 100_000
+    rows = [(1, "http://casino.example.com/x", "c", "d"), (1, "http://casino.example.com/x", "c", "d"), (None, "http://casino.example.com/x", "c", "d"), (2, long, "c", "d"), (3, None, None, None), (4, "", "c", "d")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, score string")
+    got = urlfilter.filter_urls(pages).collect()
+    assert len(got) == len(rows) and len({(r["host"], r["verdict"]) for r in got if r["page_id"] in (1, None)}) == 1
+    assert {r["host"] for r in got if r["page_id"] in (3, 4)} == {""}
 
 
 def test_every_suffix_counts(spark):
@@ -271,10 +335,10 @@ def brute_targets(sizes, weights, total, cap):
 
 def test_mixing(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    rows = mixing.mix(docs).select("doc.doc_id", "doc.text", "source", "size", "source_size", "target", "taken").collect()
-    sizes = Counter()
+    rows = mixing.mix_sizes(docs).collect()
+    sizes, words = Counter(), {r["doc_id"]: len(r["text"].encode().split()) for r in docs.collect()}
     for r in rows:
-        assert r["size"] == len(r["text"].encode().split())
+        assert r["size"] == words[r["doc_id"]]
         sizes[r["source"]] += r["size"]
     weights = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(sorted(sizes))}
     want = brute_targets(sizes, weights, 1.5 * sum(sizes.values()), 2)
@@ -285,9 +349,11 @@ def test_mixing(spark, odd_docs, no_docs):
         longest[r["source"]] = max(longest[r["source"]], r["size"])
     for s in sizes:
         assert abs(taken[s] - want[s]) <= longest[s] / 2 + 1
-    again = mixing.mix(docs).agg(F.sum(F.xxhash64("doc.doc_id", "taken").cast("decimal(38,0)"))).first()
-    assert again == mixing.mix(docs).agg(F.sum(F.xxhash64("doc.doc_id", "taken").cast("decimal(38,0)"))).first()
-    out = mixing.mix(odd_docs)
+    taken_of = lambda: sorted((r["doc_id"], r["taken"]) for r in mixing.mix_sizes(docs).collect())
+    assert taken_of() == sorted((r["doc_id"], r["taken"]) for r in rows)
+    turns = Counter(r["doc_id"] for r in mixing.sample_mix(docs).select("doc_id").collect())
+    assert all(turns[r["doc_id"]] == r["times"] for r in rows)
+    out = mixing.mix_sizes(odd_docs)
     assert out.count() == odd_docs.count() and out.where("source is null").first()["size"] == 0
     assert mixing.sample_mix(odd_docs).columns == odd_docs.columns
-    assert mixing.mix(no_docs).count() == 0
+    assert mixing.mix(no_docs).count() == 0 and mixing.mix_sizes(no_docs).count() == 0
