@@ -13,12 +13,20 @@ def attribute(name: str, detail: str = "detail", base: str = "base") -> Column:
     return F.coalesce(F.get_json_object(detail, f"$.{name}"), F.get_json_object(base, f"$.{name}"))
 
 
+def set_json(text: Column, path: list[str], value: Column) -> Column:
+    """A JSON object's text with the value, JSON text too, at a path of keys; other keys stay, at every level.
+
+    What stands on the path and is no object becomes one. The key that is set comes last.
+    """
+    whole = F.coalesce(F.from_json(text, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    key, *rest = path
+    inner = set_json(F.to_json(F.element_at(whole, key)), rest, value) if rest else value
+    return F.to_json(F.map_concat(F.map_filter(whole, lambda k, v: k != key), F.create_map(F.lit(key), F.parse_json(inner))))
+
+
 def set_attribute(projects: DataFrame, name: str, value: str, chosen: DataFrame | None = None, config: str = "base") -> DataFrame:
-    """Set a top-level, scalar attribute of a JSON config for all or chosen projects; True, False and None are typed."""
-    scalar = r'(?:"(?:[^"\\]|\\.)*"|[^,{}\[\]"]+)'
-    rest = F.regexp_replace(config, rf'"{name}"\s*:\s*{scalar}\s*,?\s*', "")
-    body = F.regexp_replace(F.trim(rest), r",?\s*\}$", "")
-    new = F.concat(body, F.when(body == "{", "").otherwise(","), F.lit(f'"{name}":'), typed_literal(F.lit(value)), F.lit("}"))
+    """Set a dotted attribute of a JSON config for all or chosen projects; True, False and None are typed."""
+    new = set_json(F.col(config), name.split("."), typed_literal(F.lit(value)))
     if chosen is None:
         return projects.withColumn(config, new)
     marked = projects.join(chosen.select("project_id", F.lit(True).alias("__set")).distinct(), "project_id", "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import broadcast_if_small, stored
+
 
 def order_files(coords: DataFrame) -> DataFrame:
     """Order of a dataset's files by the smallest value of the concatenated coordinate (ties by uri): (dataset, uri, file_ord, first)."""
@@ -38,16 +40,58 @@ def grid_holes(placed: DataFrame) -> DataFrame:
     return cells.join(files, "project_id").where("cells <> files")
 
 
-def shift_refs(refs: DataFrame, offsets: DataFrame, axis: int = 0, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """References of aggregated variables with their coordinates shifted along an axis.
+def along(offsets: DataFrame, axis: int = 0) -> DataFrame:
+    """Offsets of one axis (project_id, file_ord, var, start) as ``starts``, a map from axis to start."""
+    return offsets.select("project_id", "file_ord", "var", F.create_map(F.lit(axis), F.col("start").cast("bigint")).alias("starts"), F.lit(True).alias("first"))
+
+
+def axis_places(meta: DataFrame, places: DataFrame) -> DataFrame:
+    """Each file's length and chunks along the concatenated dims of its variables, at its place: (project_id, file_ord, var, axis, dim, place, length, n).
 
-    The offsets have a row for each file and variable; a table below the limit is broadcast, so
-    that references never move.
+    The axis of a dim comes from each variable's own ``dims``. ``places``: project_id, file_ord, dim, place.
     """
-    small = offsets.select("project_id", "file_ord", "var", "start")
-    small = F.broadcast(small) if small.limit(broadcast_rows + 1).count() <= broadcast_rows else small
-    moved = F.transform(F.col("coords"), lambda c, i: F.when(i == axis, c + F.col("start").cast("int")).otherwise(c))
-    return refs.join(small, ["project_id", "file_ord", "var"]).withColumn("coords", moved).drop("start")
+    each = meta.select("project_id", "file_ord", "var", "shape", "chunks", F.posexplode("dims").alias("axis", "dim"))
+    length = F.get("shape", F.col("axis"))
+    sized = each.select("project_id", "file_ord", "var", "axis", "dim", length.alias("length"), F.ceil(length / F.get("chunks", F.col("axis"))).cast("bigint").alias("n"))
+    return sized.join(places.select("project_id", "file_ord", "dim", "place"), ["project_id", "file_ord", "dim"])
+
+
+def place_offsets(meta: DataFrame, places: DataFrame) -> DataFrame:
+    """Start of each file's chunks on every concatenated axis: (project_id, file_ord, var, starts, first), ``starts`` a map from axis to start.
+
+    Files at one place of a dim share its start: the sum of the chunks at earlier places. A variable
+    that lacks some of the concatenated dims is the same in all files at a place; ``first`` marks the
+    one that counts.
+    """
+    at = axis_places(meta, places)
+    sides = at.groupBy("project_id", "var", "axis", "place").agg(F.max("n").alias("n"))
+    before = Window.partitionBy("project_id", "var", "axis").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sides.select("project_id", "var", "axis", "place", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("bigint").alias("start"))
+    each = at.select("project_id", "file_ord", "var", "axis", "place").join(starts, ["project_id", "var", "axis", "place"])
+    rows = each.groupBy("project_id", "file_ord", "var").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("axis", "start")))).alias("starts"))
+    dims = places.groupBy("project_id").agg(F.countDistinct("dim").alias("dims"))
+    same = Window.partitionBy("project_id", "var", F.to_json("starts")).orderBy("file_ord")
+    first = (F.size("starts") == F.col("dims")) | (F.row_number().over(same) == 1)
+    return rows.join(dims, "project_id").select("project_id", "file_ord", "var", "starts", first.alias("first"))
+
+
+def shift_refs(refs: DataFrame, offsets: DataFrame) -> DataFrame:
+    """References of aggregated variables with their coordinates shifted by ``starts`` along the axes.
+
+    The offsets have a row for each file and variable; they are stored once and broadcast if their
+    measured size allows, so that references never move. References without an offset stay where
+    they are; :func:`unplaced` counts them.
+    """
+    small = stored(offsets.select("project_id", "file_ord", "var", "starts", "first"), "offsets")
+    small = broadcast_if_small(small, F.length("project_id") + F.length("var") + 40 + 16 * F.size("starts"))
+    moved = F.when(F.col("starts").isNull(), F.col("coords")).otherwise(F.transform("coords", lambda c, i: c + F.coalesce(F.element_at("starts", i), F.lit(0)).cast("int")))
+    placed = refs.join(small, ["project_id", "file_ord", "var"], "left").where(F.coalesce("first", F.lit(True)))
+    return placed.withColumn("coords", moved).drop("starts", "first")
+
+
+def unplaced(refs: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Variables with references that no offset covers: (project_id, var, refs)."""
+    return refs.join(offsets.select("project_id", "file_ord", "var"), ["project_id", "file_ord", "var"], "left_anti").groupBy("project_id", "var").agg(F.count("*").alias("refs"))
 
 
 def identical_refs(refs: DataFrame, variables: DataFrame) -> DataFrame:
@@ -71,19 +115,23 @@ def overlaps(refs: DataFrame) -> DataFrame:
     return refs.groupBy("project_id", "var", "coords").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def combined_meta(meta: DataFrame, axis: int = 0) -> DataFrame:
-    """var_meta of the combined dataset: the first file's, its axis as long as all files together."""
-    whole = meta.groupBy("project_id", "var").agg(F.sum(F.get("shape", axis)).cast("int").alias("length"), F.min_by(F.struct("dims", "shape", "chunks", "dtype", "units"), "file_ord").alias("m"))
-    shape = F.transform("m.shape", lambda s, i: F.when(i == axis, F.col("length")).otherwise(s))
-    return whole.select("project_id", "var", "m.dims", shape.alias("shape"), "m.chunks", "m.dtype", "m.units")
+def combined_meta(meta: DataFrame, places: DataFrame) -> DataFrame:
+    """var_meta of the combined dataset: the first file's, each concatenated axis as long as all places together."""
+    whole = meta.groupBy("project_id", "var").agg(F.min_by(F.struct("dims", "shape", "chunks", "dtype", "units", "raw"), "file_ord").alias("m"))
+    sides = axis_places(meta, places).groupBy("project_id", "var", "axis", "place").agg(F.max("length").alias("length"))
+    lengths = sides.groupBy("project_id", "var", "axis").agg(F.sum("length").cast("int").alias("length"))
+    lengths = lengths.groupBy("project_id", "var").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("axis", "length")))).alias("lengths"))
+    shape = F.when(F.col("lengths").isNull(), F.col("m.shape")).otherwise(F.transform("m.shape", lambda s, i: F.coalesce(F.element_at("lengths", i), s)))
+    return whole.join(lengths, ["project_id", "var"], "left").select("project_id", "var", "m.dims", shape.alias("shape"), "m.chunks", "m.dtype", "m.units", "m.raw")
 
 
 def classify(prints: DataFrame) -> DataFrame:
     """Role of each dimension or variable from (project_id, file_ord, name, kind, dims, print).
 
-    ``print`` is a hash of the content; null marks a pure dimension, one without an array. Names
-    whose content is the same in all files are identical; other dimensions are concatenated, and
-    variables on them aggregated. Without a concatenated dimension, aggregated ones get a virtual one.
+    ``print`` is a hash of the content; null marks a pure dimension, one without an array, or a
+    variable whose content is not known. Names whose content is the same in all files are identical;
+    other dimensions are concatenated, and variables on them aggregated. Without a concatenated
+    dimension, variables that differ or are not known get a virtual one.
     """
     seen = prints.groupBy("project_id", "name", "kind").agg(F.countDistinct("print").alias("versions"), F.min_by("dims", "file_ord").alias("dims"))
     pure = F.col("versions") == 0
@@ -93,22 +141,77 @@ def classify(prints: DataFrame) -> DataFrame:
     role = (
         F.when(F.arrays_overlap("dims", F.coalesce("concat", F.array().cast("array<string>"))), "aggregated")
         .when(F.col("versions") > 1, F.when(F.col("concat").isNull(), "virtual").otherwise("aggregated"))
+        .when((F.col("versions") == 0) & F.col("concat").isNull(), "virtual")
         .when(F.size("dims") == 0, "scalar")
         .otherwise("identical")
     )
     return dims.unionByName(variables.select("project_id", "name", "kind", role.alias("role")))
 
 
+def prints_of(meta: DataFrame, cells: DataFrame) -> DataFrame:
+    """Input of :func:`classify`: dimensions and variables of each file with the hash of their cells.
+
+    ``cells``: project_id, file_ord, var, idx, value, of the variables whose content is known. A
+    dimension with an array of its name is that array; it is no variable of its own.
+    """
+    content = content_print(cells, ["project_id", "file_ord", "var"])
+    known = meta.select("project_id", "file_ord", "var", "dims").join(content, ["project_id", "file_ord", "var"], "left")
+    names = meta.select("project_id", "file_ord", F.explode("dims").alias("var")).distinct()
+    dims = names.join(content, ["project_id", "file_ord", "var"], "left").select("project_id", "file_ord", F.col("var").alias("name"), F.lit("dim").alias("kind"), F.array().cast("array<string>").alias("dims"), "print")
+    variables = known.join(names, ["project_id", "file_ord", "var"], "left_anti")
+    return dims.unionByName(variables.select("project_id", "file_ord", F.col("var").alias("name"), F.lit("var").alias("kind"), "dims", "print"))
+
+
+def places_of(cells: DataFrame, roles: DataFrame) -> DataFrame:
+    """Place of every file on each concatenated dim: (project_id, file_ord, dim, place).
+
+    With one such dim, files are ordered by its smallest value, ties by file; with several, a place
+    is the value's rank among the distinct ones, so files fill a grid.
+    """
+    concat = roles.where("kind = 'dim' and role = 'concat'").select("project_id", F.col("name").alias("var"))
+    several = concat.groupBy("project_id").agg((F.count("*") > 1).alias("several"))
+    corners = cells.join(concat, ["project_id", "var"], "left_semi").groupBy("project_id", "file_ord", F.col("var").alias("dim")).agg(F.min("value").alias("first"))
+    whole = Window.partitionBy("project_id", "dim")
+    place = F.when(F.col("several"), F.dense_rank().over(whole.orderBy("first"))).otherwise(F.row_number().over(whole.orderBy("first", "file_ord"))) - 1
+    return corners.join(several, "project_id").select("project_id", "file_ord", "dim", place.cast("int").alias("place"))
+
+
 def content_print(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Order-free content hash of each group of cells: hashes are summed next to the data, only sums move."""
     return cells.groupBy(*keys).agg(F.sum(F.xxhash64("idx", "value").cast("decimal(38,0)")).cast("string").alias("print"))
 
 
+#: Name of the virtual dimension, and its array and attributes.
+FILE_NUMBER = "file_number"
+VIRTUAL_ARRAY = '{"chunks":[1],"compressor":null,"dtype":"<i8","fill_value":4611686018427387904,"filters":null,"order":"C","shape":[1],"zarr_format":2}'
+VIRTUAL_ATTRS = {"axis": "F", "long_name": FILE_NUMBER, "standard_name": FILE_NUMBER}
+
+
 def virtual_refs(refs: DataFrame) -> DataFrame:
     """References with the file's number as a first axis, where nothing can be concatenated."""
     return refs.withColumn("coords", F.concat(F.array(F.col("file_ord").cast("int")), F.col("coords")))
 
 
+def virtual_meta(meta: DataFrame, n_files: DataFrame) -> DataFrame:
+    """var_meta of virtual variables (project_id, var, ..) with the file's number as a first dim; ``n_files``: project_id, n_files."""
+    rows = meta.join(n_files, "project_id")
+    longer = {"dims": F.concat(F.array(F.lit(FILE_NUMBER)), F.col("dims")), "shape": F.concat(F.array(F.col("n_files").cast("int")), F.col("shape")), "chunks": F.concat(F.array(F.lit(1)), F.col("chunks"))}
+    return rows.withColumns(longer).drop("n_files")
+
+
+def virtual_dimension(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References, var_meta and attributes of the virtual dimension itself for (project_id, file_ord): inline 8-byte numbers, 0 to n - 1."""
+    digits = F.lpad(F.hex(F.col("file_ord").cast("bigint")), 16, "0")
+    little = F.unhex(F.concat(*[F.substring(digits, i, 2) for i in range(15, 0, -2)]))
+    none = F.lit(None)
+    refs = files.select("project_id", "file_ord", F.lit(FILE_NUMBER).alias("var"), F.array(F.col("file_ord").cast("int")).alias("coords"), none.cast("string").alias("path"), none.cast("bigint").alias("offset"), none.cast("bigint").alias("size"), little.alias("inline"))
+    n = files.groupBy("project_id").agg(F.countDistinct("file_ord").cast("int").alias("n"))
+    meta = n.select("project_id", F.lit(FILE_NUMBER).alias("var"), F.array(F.lit(FILE_NUMBER)).alias("dims"), F.array("n").alias("shape"), F.array(F.lit(1)).alias("chunks"), F.lit("<i8").alias("dtype"), none.cast("string").alias("units"), F.lit(VIRTUAL_ARRAY).alias("raw"))
+    pairs = F.array(*[F.struct(F.lit(k).alias("attr"), F.lit(v).alias("value")) for k, v in VIRTUAL_ATTRS.items()])
+    attrs = n.select("project_id", F.lit(FILE_NUMBER).alias("scope"), F.inline(pairs))
+    return refs, meta, attrs
+
+
 def not_monotonic(coords: DataFrame) -> DataFrame:
     """Dimensions (dataset, dim) whose values neither rise nor fall strictly, with the number of values."""
     before = F.lag("value").over(Window.partitionBy("dataset", "dim").orderBy("pos"))

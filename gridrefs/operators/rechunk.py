@@ -53,23 +53,53 @@ def concatenate(cells: DataFrame, lengths: DataFrame, axis: int = 0) -> DataFram
     return cells.join(starts, ["dataset", "file_ord"]).select("dataset", "var", moved.alias("idx"), "value")
 
 
+#: Bytes of pieces that a task holds before it hands them on.
+PIECE_BYTES = 100_000_000
+
+
 def rechunk(chunks: DataFrame, sides: list[int]) -> DataFrame:
-    """Chunks with new side lengths. Source chunks are cut along the new bounds first and whole blocks move, one task's new chunk at a time."""
+    """Chunks with new side lengths. Source chunks are cut along the new bounds first and whole blocks move, one task's new chunk at a time.
+
+    A new chunk is one block in memory, so sides should keep it to some 100 MB.
+    """
+    import pyarrow as pa
+
+    names = ["dataset", "var", "chunk", "origin", "shape", "values"]
+    ints = pa.list_(pa.int32())
+    kinds = [pa.string(), pa.string(), ints, ints, ints, pa.list_(pa.float64())]
+
+    def pieces_of(row, values):
+        """Cuts of one source chunk."""
+        block = values.reshape(row["shape"])
+        spans = [range(o // s, (o + n - 1) // s + 1) for o, n, s in zip(row["origin"], block.shape, sides, strict=True)]
+        for target in np.ndindex(*[len(s) for s in spans]):
+            new = [s[t] for s, t in zip(spans, target, strict=True)]
+            low = [max(o, c * s) for o, c, s in zip(row["origin"], new, sides, strict=True)]
+            high = [min(o + n, (c + 1) * s) for o, n, c, s in zip(row["origin"], block.shape, new, sides, strict=True)]
+            piece = block[tuple(slice(a - o, b - o) for a, b, o in zip(low, high, row["origin"], strict=True))]
+            yield row["dataset"], row["var"], new, low, list(piece.shape), piece.ravel()
 
     def cut(batches):
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                block = np.asarray(row.values).reshape([int(x) for x in row.shape])
-                origin = [int(x) for x in row.origin]
-                spans = [range(o // s, (o + n - 1) // s + 1) for o, n, s in zip(origin, block.shape, sides, strict=True)]
-                for target in np.ndindex(*[len(s) for s in spans]):
-                    new = [s[t] for s, t in zip(spans, target, strict=True)]
-                    low = [max(o, c * s) for o, c, s in zip(origin, new, sides, strict=True)]
-                    high = [min(o + n, (c + 1) * s) for o, n, c, s in zip(origin, block.shape, new, sides, strict=True)]
-                    piece = block[tuple(slice(a - o, b - o) for a, b, o in zip(low, high, origin, strict=True))]
-                    out.append((row.dataset, row.var, new, low, list(piece.shape), piece.ravel()))
-            yield pd.DataFrame(out, columns=["dataset", "var", "chunk", "origin", "shape", "values"])
+        held, size = [], 0
+
+        def batch():
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
+            held.clear()
+            return out
+
+        for b in batches:
+            about = b.select(["dataset", "var", "origin", "shape"]).to_pylist()
+            lists = b.column(b.schema.get_field_index("values"))
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *lists.value_lengths().to_pylist()])
+            for k, row in enumerate(about):
+                for piece in pieces_of(row, flat[ends[k] : ends[k + 1]]):
+                    held.append(piece)
+                    size += piece[-1].nbytes
+                    if size > PIECE_BYTES:
+                        yield batch()
+                        size = 0
+        if held:
+            yield batch()
 
     def join(key, pdf):
         low = np.min(np.stack(pdf["origin"].to_list()), axis=0)
@@ -78,8 +108,8 @@ def rechunk(chunks: DataFrame, sides: list[int]) -> DataFrame:
         for row in pdf.itertuples(index=False):
             at = tuple(slice(o - a, o - a + n) for o, a, n in zip(row.origin, low, row.shape, strict=True))
             block[at] = np.asarray(row.values).reshape([int(x) for x in row.shape])
-        return pd.DataFrame([(key[0], key[1], list(pdf["chunk"].iloc[0]), low.tolist(), list(block.shape), block.ravel())], columns=["dataset", "var", "chunk", "origin", "shape", "values"])
+        return pd.DataFrame([(key[0], key[1], list(pdf["chunk"].iloc[0]), low.tolist(), list(block.shape), block.ravel())], columns=names)
 
     schema = "dataset string, var string, chunk array<int>, origin array<int>, shape array<int>, values array<double>"
-    pieces = chunks.select("dataset", "var", "chunk", "origin", "shape", "values").mapInPandas(cut, schema)
+    pieces = chunks.select(*names).mapInArrow(cut, schema)
     return pieces.withColumn("key", F.array_join(F.col("chunk").cast("array<string>"), ".")).groupBy("dataset", "var", "key").applyInPandas(join, schema)

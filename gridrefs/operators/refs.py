@@ -11,6 +11,8 @@ from ..functions.text import fixed, format_bytes
 CHUNK_KEY = r"^(.+)/(\d+(?:\.\d+)*)$"
 #: Fixed value: bytes of one reference, an estimate.
 REF_BYTES = 167
+#: Bytes of references and numbers of chunks from which a project goes to a Parquet store.
+JSON_BYTES, JSON_CHUNKS = 500_000_000, 100_000_000
 
 
 def parse_refs(rows: DataFrame) -> DataFrame:
@@ -21,7 +23,7 @@ def parse_refs(rows: DataFrame) -> DataFrame:
         "project_id",
         "file_ord",
         F.regexp_extract("key", CHUNK_KEY, 1).alias("var"),
-        F.split(F.regexp_extract("key", CHUNK_KEY, 2), r"\.").cast("array<int>").alias("coords"),
+        F.split(F.regexp_extract("key", CHUNK_KEY, 2), r"\.").try_cast("array<int>").alias("coords"),
         F.when(~inline, F.get(parts, 0)).alias("path"),
         F.when(~inline, F.get(parts, 1)).cast("bigint").alias("offset"),
         F.when(~inline, F.get(parts, 2)).cast("bigint").alias("size"),
@@ -82,6 +84,18 @@ def merge_inline(refs: DataFrame, ideal: int = 1000) -> DataFrame:
     return grouped.groupBy("project_id", "var", "group").agg(F.unhex(F.array_join(parts, "")).alias("inline")).select("project_id", "var", F.array("group").alias("coords"), "inline")
 
 
+def merged_chunk_lengths(meta: DataFrame, merged: DataFrame) -> DataFrame:
+    """var_meta whose merged variables (project_id, var, with a row a group) have chunks as long as a group."""
+    groups = merged.groupBy("project_id", "var").agg(F.count("*").alias("groups"))
+    chunks = F.when(F.col("groups").isNull(), F.col("chunks")).otherwise(F.array(F.ceil(F.get("shape", 0) / F.col("groups")).cast("int")))
+    return meta.join(groups, ["project_id", "var"], "left").withColumn("chunks", chunks).drop("groups")
+
+
+def variable_summary(refs: DataFrame) -> DataFrame:
+    """Bytes and chunks of each file and variable: what every number of a scan is rolled up from."""
+    return refs.groupBy("project_id", "file_ord", "var").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("chunks"))
+
+
 def file_summary(refs: DataFrame) -> DataFrame:
     """Bytes and chunks of each file; inline chunks count but add no bytes."""
     return refs.groupBy("project_id", "file_ord").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("chunks"))
@@ -89,20 +103,30 @@ def file_summary(refs: DataFrame) -> DataFrame:
 
 def chunks_per_variable(refs: DataFrame) -> DataFrame:
     """Mean number of chunks a file for each variable, over the files of the project."""
-    files = refs.select("project_id", "file_ord").distinct().groupBy("project_id").agg(F.count("*").alias("files"))
-    counts = refs.groupBy("project_id", "var").agg(F.count("*").alias("chunks"))
-    return counts.join(files, "project_id").select("project_id", "var", (F.col("chunks") / F.col("files")).alias("mean_chunks"))
+    return variables_of(refs).select("project_id", "var", (F.col("chunks") / F.col("files")).alias("mean_chunks"))
+
+
+def variables_of(refs: DataFrame) -> DataFrame:
+    """(project_id, var, chunks, having, files): chunks of each variable, files with it, and all files of its project.
+
+    References are grouped once; the count of a project's files comes from the number of files that
+    first occur with each variable.
+    """
+    by_var = variable_summary(refs)
+    first = by_var.withColumn("starts", (F.col("var") == F.min("var").over(Window.partitionBy("project_id", "file_ord"))).cast("long"))
+    sums = first.groupBy("project_id", "var").agg(F.sum("chunks").alias("chunks"), F.count("*").alias("having"), F.sum("starts").alias("starts"))
+    return sums.select("project_id", "var", "chunks", "having", F.sum("starts").over(Window.partitionBy("project_id")).alias("files"))
 
 
 def project_scan(refs: DataFrame, n_files: DataFrame | None = None, override: str | None = None) -> DataFrame:
     """Numbers of each project: means, sizes, estimated references and the output type.
 
     ``n_files`` (project_id, n_files) counts all files where ``refs`` covers a sample of them.
+    References are grouped once, by file and variable; the rest is rolled up.
     """
-    per_file = file_summary(refs)
-    means = per_file.groupBy("project_id").agg(F.avg("chunks").alias("avg_cpf"), F.avg("bytes").alias("avg_vol"), F.count("*").alias("seen"))
-    variables = refs.groupBy("project_id").agg(F.countDistinct("var").alias("num_vars"))
-    rows = means.join(variables, "project_id")
+    by_var = variable_summary(refs)
+    per_file = by_var.groupBy("project_id", "file_ord").agg(F.sum("bytes").alias("bytes"), F.sum("chunks").alias("chunks"), F.collect_set("var").alias("vars"))
+    rows = per_file.groupBy("project_id").agg(F.avg("chunks").alias("avg_cpf"), F.avg("bytes").alias("avg_vol"), F.count("*").alias("seen"), F.size(F.array_distinct(F.flatten(F.collect_set("vars")))).cast("long").alias("num_vars"))
     rows = rows.join(n_files, "project_id", "left").withColumn("n_files", F.coalesce("n_files", "seen")) if n_files is not None else rows.withColumn("n_files", F.col("seen"))
     positive = lambda c: F.when(F.col(c) > 0, F.col(c))
     rows = rows.withColumn("avg_chunk", F.col("avg_vol") / positive("avg_cpf"))
@@ -116,36 +140,45 @@ def project_scan(refs: DataFrame, n_files: DataFrame | None = None, override: st
             "skipped": F.col("n_files") < 3,
         }
     )
-    chosen = F.when((F.col("cloud_bytes") > 500e6) | (F.col("total_chunks") > 1e8), "parq").otherwise("json")
+    chosen = F.when((F.col("cloud_bytes") > JSON_BYTES) | (F.col("total_chunks") > JSON_CHUNKS), "parq").otherwise("json")
     return rows.withColumn("output_type", F.lit(override) if override else chosen).drop("seen")
 
 
-def scan_details(scan: DataFrame) -> DataFrame:
-    """The record of a scan with formatted fields."""
-    return scan.select(
+def scan_details(scan: DataFrame, variables: DataFrame | None = None, drivers: DataFrame | None = None) -> DataFrame:
+    """The record of a scan with formatted fields.
+
+    ``variables`` (project_id, var, mean_chunks) adds ``variables``, a map to chunks a file;
+    ``drivers`` (project_id, driver) adds the distinct ones, joined by slashes.
+    """
+    out = scan.select(
         "project_id",
         "n_files",
         format_bytes(F.col("source_bytes")).alias("source_data"),
         format_bytes(F.col("cloud_bytes")).alias("cloud_data"),
         fixed(F.col("avg_cpf"), 1).alias("chunks_per_file"),
         fixed(F.col("total_chunks"), 2).alias("total_chunks"),
+        format_bytes(F.col("avg_chunk")).alias("estm_chunksize"),
         F.concat(fixed(F.col("spatial_res"), 2), F.lit(" deg")).alias("estm_spatial_res"),
         F.concat(fixed(F.col("addition"), 3), F.lit(" %")).alias("addition"),
         "output_type",
     )
+    if variables is not None:
+        each = F.map_from_entries(F.array_sort(F.collect_list(F.struct("var", fixed(F.col("mean_chunks"), 1).alias("chunks")))))
+        out = out.join(variables.groupBy("project_id").agg(each.alias("variables")), "project_id", "left")
+    if drivers is not None:
+        out = out.join(drivers.groupBy("project_id").agg(F.concat_ws("/", F.array_sort(F.collect_set("driver"))).alias("driver")), "project_id", "left")
+    return out
 
 
 def inconsistent_variables(refs: DataFrame) -> DataFrame:
     """Variables that some files of their project lack: missing files by variable."""
-    files = refs.select("project_id", "file_ord").distinct().groupBy("project_id").agg(F.count("*").alias("files"))
-    having = refs.select("project_id", "file_ord", "var").distinct().groupBy("project_id", "var").agg(F.count("*").alias("having"))
-    return having.join(files, "project_id").where("having < files").select("project_id", "var", (F.col("files") - F.col("having")).alias("missing_files"))
+    return variables_of(refs).where("having < files").select("project_id", "var", (F.col("files") - F.col("having")).alias("missing_files"))
 
 
 def inconsistent_chunks(meta: DataFrame) -> DataFrame:
-    """Variables whose chunk shape differs between files, by dimension: the numbers of shapes."""
+    """Variables whose chunk shape differs between files, by dimension: the number of shapes, the smallest and the largest."""
     each = meta.select("project_id", "var", F.posexplode("chunks").alias("axis", "chunk"))
-    return each.groupBy("project_id", "var", "axis").agg(F.countDistinct("chunk").alias("shapes")).where("shapes > 1")
+    return each.groupBy("project_id", "var", "axis").agg(F.countDistinct("chunk").alias("shapes"), F.min("chunk").alias("low"), F.max("chunk").alias("high")).where("shapes > 1")
 
 
 def conflicting_units(meta: DataFrame) -> DataFrame:

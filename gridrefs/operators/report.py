@@ -57,8 +57,24 @@ def matched_reports(report: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def nest(report: DataFrame) -> DataFrame:
-    """(project_id, value): a project's report as JSON, section -> error -> names."""
-    by_error = report.groupBy("project_id", "part", "section", "error").agg(F.array_sort(F.collect_set(F.struct("parent", "name", "skipped"))).alias("entries"))
-    by_section = by_error.groupBy("project_id", "part", "section").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("error", "entries")))).alias("errors"))
-    by_part = by_section.groupBy("project_id", "part").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", F.to_json("errors").alias("errors"))))).alias("sections"))
-    return by_part.groupBy("project_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("part", F.to_json("sections").alias("s")))))).alias("value"))
+    """(project_id, value): a project's report as one JSON tree, part -> section -> error -> list of entries with parent, name, detail and skipped.
+
+    A report has a few entries for each variable, dimension or attribute, so a project's is one row.
+    """
+    entry = F.struct("parent", "name", F.map_from_entries(F.array_sort(F.map_entries("detail"))).alias("detail"), F.coalesce("skipped", F.lit(False)).alias("skipped"))
+    text = F.to_json(entry)
+    key = lambda c, v: F.concat(F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2), F.lit(":"), v)
+    tree = lambda items: F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(items)), ","), F.lit("}"))
+    by_error = report.groupBy("project_id", "part", "section", "error").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(text)), ","), F.lit("]")).alias("v"))
+    by_section = by_error.groupBy("project_id", "part", "section").agg(tree(key(F.col("error"), F.col("v"))).alias("v"))
+    by_part = by_section.groupBy("project_id", "part").agg(tree(key(F.col("section"), F.col("v"))).alias("v"))
+    return by_part.groupBy("project_id").agg(tree(key(F.col("part"), F.col("v"))).alias("value"))
+
+
+def unnest(reports: DataFrame) -> DataFrame:
+    """Report rows from (project_id, value), the JSON trees of :func:`nest`."""
+    kind = "map<string,map<string,map<string,array<struct<parent:string,name:string,detail:map<string,string>,skipped:boolean>>>>>"
+    rows = reports.select("project_id", F.explode(F.from_json("value", kind)).alias("part", "v"))
+    for level in ("section", "error"):
+        rows = rows.select(*[c for c in rows.columns if c != "v"], F.explode("v").alias(level, "v"))
+    return rows.select("project_id", "part", "section", "error", F.inline("v"))

@@ -36,6 +36,15 @@ def merge_groups(sets: DataFrame, a: str, b: str, new: str) -> DataFrame:
     return sets.where(~F.col("group_id").isin(a, b)).select("group_id", "set_id", "project_id", "pos").unionByName(made)
 
 
+def merge_group_tables(table: DataFrame, a: str, b: str, new: str, key: str | None = None) -> DataFrame:
+    """Rows of two groups under the new group's name: manifests, fault lists, logs. Of rows with one ``key``, a's stays."""
+    rows = table.where(F.col("group_id").isin(a, b))
+    if key is not None:
+        twice = rows.where(F.col("group_id") == a).select(key)
+        rows = rows.where(F.col("group_id") == a).unionByName(rows.where(F.col("group_id") == b).join(twice, key, "left_anti").select(*table.columns))
+    return table.where(~F.col("group_id").isin(a, b)).unionByName(rows.withColumn("group_id", F.lit(new)).select(*table.columns))
+
+
 def split_group(sets: DataFrame, moved: DataFrame, group: str, new: str) -> DataFrame:
     """Projects ``moved`` leave a group and all its subsets for a new group's main set."""
     here = sets.where(F.col("group_id") == group)
@@ -57,7 +66,7 @@ def transfer(sets: DataFrame, moved: DataFrame, source: str, target: str) -> Dat
     stay = sets.where(~leaving).select(*cols).unionByName(sets.where(leaving).join(ids, "project_id", "left_anti").select(*cols))
     top = sets.where((F.col("group_id") == target) & (F.col("set_id") == "main")).agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("top"))
     new = sets.where(leaving & (F.col("set_id") == "main")).join(ids, "project_id", "left_semi")
-    rank = F.row_number().over(Window.orderBy("pos", "project_id"))
+    rank = F.row_number().over(Window.partitionBy("group_id").orderBy("pos", "project_id"))  # of one group
     ranked = new.withColumn("rank", rank).join(F.broadcast(top), F.lit(True))  # one row
     return stay.unionByName(ranked.select(F.lit(target).alias("group_id"), F.lit("main").alias("set_id"), "project_id", (F.col("top") + F.col("rank")).cast("int").alias("pos")))
 

@@ -108,17 +108,20 @@ def select_by_status(last: DataFrame, phase: str, expression: str) -> DataFrame:
     ``X`` an exact status or, if no project of the phase has it, the short form.
     """
     rows = last.where(F.col("phase") == phase).withColumn("plain", without_prefix(F.col("status")))
+    terms = [t.strip() for t in expression.split("&")]
+    # Which terms some project has exactly: one row, counted on the map side.
+    exact_terms = [t for t in terms if t != "Any" and not t.startswith("!")]
+    if exact_terms:
+        seen = rows.agg(*[F.coalesce(F.bool_or(F.col("plain") == t), F.lit(False)).alias(f"__seen{k}") for k, t in enumerate(exact_terms)])
+        rows = rows.join(F.broadcast(seen), F.lit(True))  # one row
     keep = F.lit(True)
-    for term in (t.strip() for t in expression.split("&")):
+    for term in terms:
         name = term.removeprefix("!")
         exact, short = F.col("plain") == name, short_status(F.col("plain")) == name
-        if term == "Any":
-            continue
         if term.startswith("!"):
             keep = keep & ~(exact | short)
-        else:
-            rows = rows.withColumn("__exact", F.max(exact.cast("int")).over(Window.partitionBy("phase")) == 1)
-            keep = keep & F.when(F.col("__exact"), exact).otherwise(short)
+        elif term != "Any":
+            keep = keep & F.when(F.col(f"__seen{exact_terms.index(term)}"), exact).otherwise(short)
     return rows.where(keep).select("group_id", "project_id", "phase", "status")
 
 

@@ -25,7 +25,10 @@ def apply_to_rows(rows: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], s
 
 
 def decode_chunks(refs: DataFrame, meta: DataFrame) -> DataFrame:
-    """Numbers of inline chunks by their variable's dtype: (project_id, file_ord, var, coords, values)."""
+    """Numbers of inline chunks by their variable's dtype: (project_id, file_ord, var, coords, values).
+
+    A user hook over a whole group is a function from DataFrame to DataFrame: ``group.transform(hook)``.
+    """
 
     @F.pandas_udf("array<double>")
     def decode(data: pd.Series, dtype: pd.Series) -> pd.Series:
@@ -35,8 +38,3 @@ def decode_chunks(refs: DataFrame, meta: DataFrame) -> DataFrame:
 
     typed = refs.where("inline is not null").join(meta.select("project_id", "file_ord", "var", "dtype"), ["project_id", "file_ord", "var"])
     return typed.select("project_id", "file_ord", "var", "coords", decode("inline", "dtype").alias("values"))
-
-
-def before_completion(group: DataFrame, hook: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A user hook over a whole group."""
-    return group.transform(hook)

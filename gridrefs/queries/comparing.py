@@ -12,7 +12,7 @@ from . import derive as dv
 
 
 def _attr_sides(s, d):
-    a = dv.attrs(s, d).where("file_ord < 400")
+    a = dv.attrs(s, d)
     test = a.where("file_ord % 2 = 0").groupBy("project_id", "scope", "attr").agg(F.min_by("value", "file_ord").alias("value"))
     control = a.where("file_ord % 2 = 1 and not (attr = 'brand' and file_ord % 5 = 1)").groupBy("project_id", "scope", "attr").agg(F.min_by("value", "file_ord").alias("value"))
     return test, control
@@ -25,8 +25,10 @@ def attr_diff(s, d):
 
 def _name_sides(s, d):
     m = dv.var_meta(s, d).select("project_id", "file_ord", F.col("var").alias("name"))
-    names = lambda odd: m.where(F.pmod("file_ord", F.lit(2)) == odd).where("file_ord < 12").groupBy("project_id", "name").agg(F.min("file_ord").alias("first"))
-    return names(0), names(1)
+    # A hash of project and name leaves a name out of a side.
+    left_out = F.substring(F.md5(F.concat_ws(":", "project_id", "name")), 1, 1)
+    names = lambda odd, digit: m.where((F.pmod("file_ord", F.lit(2)) == odd) & (left_out != digit)).groupBy("project_id", "name").agg(F.min("file_ord").alias("first"))
+    return names(0, "a"), names(1, "b")
 
 
 def name_diff(s, d):
@@ -91,7 +93,7 @@ def _report(s, d):
     error = F.get(F.array(*[F.lit(e) for e in ("size_errors", "data_errors", "dim_errors", "growbox", "bypassed", "missing", "order", "not_equal", "ignored")]), k.cast("int"))
     part = F.when(k <= 4, "data").otherwise("metadata")
     section = F.when(k == 7, "attributes").when(F.col("line_no") % 2 == 0, "variables").otherwise("dimensions")
-    return log.where("status <> 'Success' and line_no % 13 < 4").select("project_id", part.alias("part"), section.alias("section"), error.alias("error"), F.when(k == 7, "global").alias("parent"), F.concat(F.lit("v"), F.col("line_no") % 4).alias("name"), F.create_map().cast("map<string,string>").alias("detail"), F.lit(False).alias("skipped"))
+    return log.where("status <> 'Success'").select("project_id", part.alias("part"), section.alias("section"), error.alias("error"), F.when(k == 7, "global").alias("parent"), F.concat(F.lit("v"), F.col("line_no") % 4).alias("name"), F.create_map(F.lit("line"), F.col("line_no").cast("string")).alias("detail"), F.lit(False).alias("skipped"))
 
 
 def worst_errors(s, d):
@@ -105,12 +107,12 @@ def bypassed_report(s, d):
 
 
 def matched_reports(s, d):
-    r = _report(s, d)
+    r = _report(s, d).where("not (error = 'bypassed' and project_id % 2 = 0)")  # even projects have no such errors
     return rp.matched_reports(r, r.where("project_id % 3 = 0 and error <> 'bypassed'"))
 
 
 def control_files(s, d):
-    return cp.control_files(dv.files(s, d)).groupBy("project_id").agg(F.count("*").alias("n"), F.min("file_ord").alias("first"), F.max("file_ord").alias("last"))
+    return cp.control_files(dv.files(s, d))
 
 
 def _chunks(s, d):
@@ -159,16 +161,16 @@ def shifted_cells(s, d):
 QUERIES = {f.__name__: f for f in (attr_diff, name_diff, order_diff, monotonic_dims, aligned_windows, cell_diff, cell_stats, cell_verdict, growbox, dim_diff, meta_diff, worst_errors, bypassed_report, matched_reports, control_files, rechunked, chunk_cells, concat_cells, chunk_diff, rechunk_scheme, shifted_cells)}
 
 _SIDES = """,
-t AS (SELECT project_id, attr, arg_min(value, file_ord) AS test FROM attrs WHERE file_ord < 400 AND file_ord % 2 = 0 GROUP BY 1, 2),
-c AS (SELECT project_id, attr, arg_min(value, file_ord) AS control FROM attrs WHERE file_ord < 400 AND file_ord % 2 = 1 AND NOT (attr = 'brand' AND file_ord % 5 = 1) GROUP BY 1, 2)"""
+t AS (SELECT project_id, attr, arg_min(value, file_ord) AS test FROM attrs WHERE file_ord % 2 = 0 GROUP BY 1, 2),
+c AS (SELECT project_id, attr, arg_min(value, file_ord) AS control FROM attrs WHERE file_ord % 2 = 1 AND NOT (attr = 'brand' AND file_ord % 5 = 1) GROUP BY 1, 2)"""
 _NAMES = """,
-t AS (SELECT project_id, var AS name, min(file_ord) AS first FROM meta WHERE file_ord % 2 = 0 AND file_ord < 12 GROUP BY 1, 2),
-c AS (SELECT project_id, var AS name, min(file_ord) AS first FROM meta WHERE abs(file_ord % 2) = 1 AND file_ord < 12 GROUP BY 1, 2)"""
+t AS (SELECT project_id, var AS name, min(file_ord) AS first FROM meta WHERE file_ord % 2 = 0 AND left(md5(project_id || ':' || var), 1) <> 'a' GROUP BY 1, 2),
+c AS (SELECT project_id, var AS name, min(file_ord) AS first FROM meta WHERE abs(file_ord % 2) = 1 AND left(md5(project_id || ':' || var), 1) <> 'b' GROUP BY 1, 2)"""
 _REPORT = """,
-report AS (SELECT project_id, line_no % 9 AS k, CASE WHEN line_no % 9 <= 4 THEN 'data' ELSE 'metadata' END AS part,
+report AS (SELECT project_id, CAST(line_no AS VARCHAR) AS line, line_no % 9 AS k, CASE WHEN line_no % 9 <= 4 THEN 'data' ELSE 'metadata' END AS part,
   CASE WHEN line_no % 9 = 7 THEN 'attributes' WHEN line_no % 2 = 0 THEN 'variables' ELSE 'dimensions' END AS section,
   (['size_errors','data_errors','dim_errors','growbox','bypassed','missing','order','not_equal','ignored'])[line_no % 9 + 1] AS error, 'v' || (line_no % 4) AS name
-  FROM log WHERE status <> 'Success' AND line_no % 13 < 4),
+  FROM log WHERE status <> 'Success'),
 ranked AS (SELECT project_id, CASE WHEN part = 'data' THEN 2 * CASE error WHEN 'size_errors' THEN 0 WHEN 'data_errors' THEN 2 WHEN 'dim_errors' THEN 3 WHEN 'growbox' THEN 4 ELSE 5 END + CASE WHEN section = 'variables' THEN 0 ELSE 1 END
   WHEN section = 'variables' THEN 14 WHEN section = 'dimensions' THEN 15 ELSE 16 END AS rank,
   CASE WHEN part = 'data' THEN CASE WHEN error IN ('size_errors','data_errors','dim_errors') THEN 'Fatal-' ELSE 'Warn-' END || error WHEN section = 'attributes' THEN 'Warn-global_' || name || '_' || error ELSE 'Warn-' || name || '_' || error END AS label
@@ -198,7 +200,8 @@ SELECT dataset, 'time' AS dim, CASE WHEN bool_or(t IS NULL OR c IS NULL) THEN 'd
     "meta_diff": f"WITH {dv.META}, t AS (SELECT project_id, var, sum(n) AS ts, min(dtype) AS td FROM meta WHERE file_ord % 2 = 0 GROUP BY 1, 2), c AS (SELECT project_id, var, sum(n) AS cs, min(dtype) AS cd FROM meta WHERE abs(file_ord % 2) = 1 GROUP BY 1, 2) SELECT project_id, var, concat_ws(',', CASE WHEN ts <> cs THEN 'size,dim_size' END, CASE WHEN td <> cd THEN 'dtype/precision' END) AS problems FROM t JOIN c USING (project_id, var) WHERE ts <> cs OR td <> cd",
     "worst_errors": f"WITH {dv.LOG}{_REPORT} SELECT project_id, coalesce(label, 'Success') AS worst, CASE WHEN label LIKE '%Fatal%' THEN 'Fatal' WHEN label LIKE '%Warn%' THEN 'Warning' ELSE 'Success' END AS result FROM (SELECT DISTINCT project_id FROM log) LEFT JOIN worst USING (project_id)",
     "bypassed_report": f"WITH {dv.LOG}{_REPORT} SELECT section, error, name, (section = 'variables' AND error = 'data_errors' AND name = 'v2') OR section = 'attributes' AS skipped, count(*) AS n FROM report GROUP BY 1, 2, 3, 4",
-    "matched_reports": f"WITH {dv.LOG}{_REPORT}, dr AS (SELECT * FROM report WHERE part = 'data'), sk AS (SELECT DISTINCT section, error, name FROM dr WHERE CAST(project_id AS INTEGER) % 3 = 0 AND error <> 'bypassed') SELECT DISTINCT project_id FROM dr EXCEPT SELECT project_id FROM dr LEFT JOIN sk ON dr.section = sk.section AND dr.error = sk.error AND dr.name = sk.name WHERE sk.name IS NULL",
+    "matched_reports": f"WITH {dv.LOG}{_REPORT}, dr AS (SELECT * FROM report WHERE part = 'data' AND NOT (error = 'bypassed' AND CAST(project_id AS INTEGER) % 2 = 0)), sk AS (SELECT DISTINCT section, error, name FROM dr WHERE CAST(project_id AS INTEGER) % 3 = 0 AND error <> 'bypassed') SELECT DISTINCT project_id FROM dr EXCEPT SELECT project_id FROM dr LEFT JOIN sk ON dr.section = sk.section AND dr.error = sk.error AND dr.name = sk.name WHERE sk.name IS NULL",
+    "control_files": f"WITH {dv.FILES}, m AS (SELECT *, file_ord = min(file_ord) OVER p OR file_ord = max(file_ord) OVER p AS ends FROM files WINDOW p AS (PARTITION BY project_id)) SELECT project_id, file_ord, uri FROM (SELECT *, row_number() OVER (PARTITION BY project_id, ends ORDER BY md5('0:' || uri), uri) AS pick FROM m) WHERE ends OR pick = 1",
     "rechunked": f"WITH {_EMB} SELECT CAST(floor(vec_id / 10) AS INTEGER) AS row, CAST(floor(col / 16) AS INTEGER) AS col, CAST(count(*) AS INTEGER) AS n, round(sum(CAST(v AS DOUBLE)), 4) AS total FROM e GROUP BY CAST(floor(vec_id / 10) AS INTEGER), CAST(floor(col / 16) AS INTEGER)",
     "chunk_cells": f"WITH {_EMB} SELECT CAST(vec_id AS INTEGER) AS row, CAST(col AS INTEGER) AS col, round(CAST(v AS DOUBLE), 6) AS value FROM e",
     "concat_cells": f"WITH {_EMB} SELECT CAST(vec_id AS INTEGER) AS row, count(*) AS n, round(sum(CAST(v AS DOUBLE)), 4) AS total FROM e GROUP BY 1",

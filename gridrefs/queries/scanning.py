@@ -8,7 +8,9 @@ from ..functions.text import format_bytes, substitute
 from ..operators import attrs as at
 from ..operators import combine as cb
 from ..operators import refs as rf
+from ..schemas import REFS
 from ..sources import readers, writers
+from ..storage import shared_folder
 from . import derive as dv
 
 
@@ -23,7 +25,10 @@ def project_scan(s, d):
 
 
 def output_type(s, d):
-    return rf.scan_details(rf.project_scan(dv.refs(s, d)))
+    refs = dv.refs(s, d)
+    drivers = dv.files(s, d).select("project_id", F.when(F.pmod("file_ord", F.lit(3)) == 1, "hdf5").otherwise("netcdf3").alias("driver"))
+    out = rf.scan_details(rf.project_scan(refs), rf.chunks_per_variable(refs), drivers)
+    return out.withColumn("variables", F.to_json("variables"))
 
 
 def chunks_per_var(s, d):
@@ -43,7 +48,8 @@ def first_files(s, d):
 
 
 def missing_ranges(s, d):
-    parts = rf.file_ranges(dv.files(s, d), 7).where("file_ord % 5 <> 0").select("project_id", "part").distinct()
+    done = F.substring(F.md5(F.concat_ws(":", "project_id", "part")), 1, 1) > "4"
+    parts = rf.file_ranges(dv.files(s, d), 7).where(done).select("project_id", "part").distinct()
     totals = dv.files(s, d).groupBy("project_id").agg(F.lit(7).alias("total"))
     return rf.missing_ranges(parts, totals)
 
@@ -66,7 +72,7 @@ def grid_placement(s, d):
 
 def combined_refs(s, d):
     refs = dv.refs(s, d)
-    out = cb.combined_refs(refs, cb.chunk_offsets(cb.chunk_counts(dv.var_meta(s, d))))
+    out = cb.combined_refs(refs, cb.along(cb.chunk_offsets(cb.chunk_counts(dv.var_meta(s, d)))))
     return out.select("project_id", "file_ord", "var", F.get("coords", 0).alias("coord"), "path", "size")
 
 
@@ -84,7 +90,7 @@ def refs_per_file(s, d):
 
 
 def merged_chunks(s, d):
-    one = dv.refs(s, d).where("file_ord % 12 = 0").groupBy("project_id", "var", "coords").agg(F.sum("size").alias("size"))
+    one = dv.refs(s, d).groupBy("project_id", "var", "coords").agg(F.sum("size").alias("size"))
     inline = one.withColumn("inline", F.encode(F.lpad(F.col("size").cast("string"), 8, "0"), "UTF-8"))
     out = rf.merge_inline(inline, ideal=4)
     return out.select("project_id", "var", F.get("coords", 0).alias("coord"), F.decode("inline", "UTF-8").alias("bytes"))
@@ -142,11 +148,22 @@ def byte_texts(s, d):
 
 
 def document_round_trip(s, d):
+    """Whole combined documents, written for projects small enough and read back, united with a store of the others."""
     refs = dv.refs(s, d)
-    whole = cb.combined_refs(refs, cb.chunk_offsets(cb.chunk_counts(dv.var_meta(s, d))))
-    docs = writers.documents(whole).withColumnRenamed("project_id", "uri")
-    rows = readers.explode_documents(docs).select(F.col("uri").alias("project_id"), F.lit(0).alias("file_ord"), "key", "value")
-    return rf.parse_refs(rows).groupBy("project_id", "var").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("path").alias("paths"))
+    meta = dv.var_meta(s, d)
+    offsets = cb.along(cb.chunk_offsets(cb.chunk_counts(meta)))
+    whole = cb.combined_refs(refs, offsets)
+    places = meta.select("project_id", "file_ord", F.lit("time").alias("dim"), F.col("file_ord").alias("place")).distinct()
+    docs, large = writers.documents(whole, cb.combined_meta(meta, places))
+    top = shared_folder(s, "documents")
+    writers.write_documents(docs, f"{top}/json")
+    writers.write_store(whole.join(large, "project_id", "left_semi").select(*[c.split()[0] for c in REFS.split(", ")]), f"{top}/store")
+    back = s.read.schema("value string, project_id string").text(f"{top}/json").select(F.col("project_id").alias("uri"), "value")
+    rows = readers.explode_documents(back).select(F.col("uri").alias("project_id"), F.lit(0).alias("file_ord"), "key", "value")
+    parsed = rf.parse_refs(rows)
+    found = parsed.unionByName(writers.read_store(s, f"{top}/store").select(*parsed.columns)).groupBy("project_id", "var").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("path").alias("paths"))
+    about = rf.parse_var_meta(rows).select("project_id", "var", F.get("shape", 0).alias("length"), F.array_join("dims", ",").alias("dims"), "dtype")
+    return found.join(about, ["project_id", "var"], "left")
 
 
 def config_defaults(s, d):
@@ -155,8 +172,8 @@ def config_defaults(s, d):
 
 
 def virtual_dimension(s, d):
-    out = cb.virtual_refs(dv.refs(s, d).where("var = 'RF'"))
-    return out.groupBy("project_id", F.get("coords", 0).alias("file_number")).agg(F.count("*").alias("n"), F.max(F.get("coords", 1)).alias("top"))
+    out = cb.virtual_refs(dv.refs(s, d))
+    return out.groupBy("project_id", "var", F.get("coords", 0).alias("file_number")).agg(F.count("*").alias("n"), F.max(F.get("coords", 1)).alias("top"))
 
 
 def kept_variables(s, d):
@@ -166,7 +183,9 @@ def kept_variables(s, d):
 
 
 def combined_meta(s, d):
-    return cb.combined_meta(dv.var_meta(s, d)).select("project_id", "var", F.get("shape", 0).alias("length"), "dtype", "units")
+    meta = dv.var_meta(s, d)
+    places = meta.select("project_id", "file_ord", F.lit("time").alias("dim"), F.col("file_ord").alias("place")).distinct()
+    return cb.combined_meta(meta, places).select("project_id", "var", F.get("shape", 0).alias("length"), "dtype", "units")
 
 
 def _sql(tables: str, select: str) -> str:
@@ -181,6 +200,11 @@ sc AS (SELECT project_id, n_files, num_vars, avg_cpf, avg_vol, avg_vol/avg_cpf A
   167*100/(avg_vol/avg_cpf) AS addition, avg_cpf*n_files*167 AS cloud_bytes, CASE WHEN avg_cpf*n_files*167 > 500e6 OR avg_cpf*n_files > 1e8 THEN 'parq' ELSE 'json' END AS output_type FROM ps JOIN nv USING (project_id))"""
 
 
+_DETAILS = """,
+vs AS (SELECT project_id, '{' || string_agg('"' || var || '":"' || printf('%.1f', n / n_files) || '"', ',' ORDER BY var) || '}' AS variables FROM (SELECT project_id, var, count(*) AS n FROM refs GROUP BY 1, 2) JOIN sc USING (project_id) GROUP BY 1),
+dr AS (SELECT project_id, string_agg(DISTINCT CASE WHEN file_ord % 3 = 1 THEN 'hdf5' ELSE 'netcdf3' END, '/' ORDER BY CASE WHEN file_ord % 3 = 1 THEN 'hdf5' ELSE 'netcdf3' END) AS driver FROM files GROUP BY 1)"""
+
+
 def _bytes_sql(x: str) -> str:
     return f"""CASE WHEN {x} <= 1000 THEN printf('%.2f B', {x}) WHEN {x}/1e3 <= 1000 THEN printf('%.2f KB', {x}/1e3) WHEN {x}/1e6 <= 1000 THEN printf('%.2f MB', {x}/1e6)
   WHEN {x}/1e9 <= 1000 THEN printf('%.2f GB', {x}/1e9) WHEN {x}/1e12 <= 1000 THEN printf('%.2f TB', {x}/1e12) ELSE printf('%.2f PB', {x}/1e15) END"""
@@ -203,12 +227,12 @@ QUERIES = {f.__name__: f for f in (file_summary, project_scan, output_type, chun
 SQL = {
     "file_summary": _sql(dv.REFS, "SELECT project_id, file_ord, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS chunks FROM refs GROUP BY 1, 2"),
     "project_scan": _sql(dv.REFS + _SCAN, "SELECT project_id, n_files, num_vars, round(avg_cpf,4) AS avg_cpf, round(avg_vol,4) AS avg_vol, round(avg_chunk,4) AS avg_chunk, round(spatial_res,4) AS spatial_res, round(source_bytes,4) AS source_bytes, round(total_chunks,4) AS total_chunks, round(addition,4) AS addition, round(cloud_bytes,4) AS cloud_bytes, output_type, n_files < 3 AS skipped FROM sc"),
-    "output_type": _sql(dv.REFS + _SCAN, f"SELECT project_id, n_files, {_bytes_sql('source_bytes')} AS source_data, {_bytes_sql('cloud_bytes')} AS cloud_data, printf('%.1f', avg_cpf) AS chunks_per_file, printf('%.2f', total_chunks) AS total_chunks, printf('%.2f deg', spatial_res) AS estm_spatial_res, printf('%.3f', addition) || ' %' AS addition, output_type FROM sc"),
+    "output_type": _sql(dv.FILES + _SCAN + _DETAILS, f"SELECT project_id, n_files, {_bytes_sql('source_bytes')} AS source_data, {_bytes_sql('cloud_bytes')} AS cloud_data, printf('%.1f', avg_cpf) AS chunks_per_file, printf('%.2f', total_chunks) AS total_chunks, {_bytes_sql('avg_chunk')} AS estm_chunksize, printf('%.2f deg', spatial_res) AS estm_spatial_res, printf('%.3f', addition) || ' %' AS addition, output_type, variables, driver FROM sc JOIN vs USING (project_id) JOIN dr USING (project_id)"),
     "chunks_per_var": _sql(dv.REFS, "SELECT project_id, var, round(count(*) / any_value(files), 4) AS mean_chunks FROM refs JOIN (SELECT project_id, count(DISTINCT file_ord) AS files FROM refs GROUP BY 1) USING (project_id) GROUP BY 1, 2"),
     "scan_sample": _sql(dv.FILES, "SELECT project_id, file_ord, uri FROM (SELECT *, count(*) OVER (PARTITION BY project_id) AS n, row_number() OVER (PARTITION BY project_id ORDER BY file_ord) AS rank FROM files) WHERE n >= 3 AND rank <= least(100, greatest(2, floor(n / 20)))"),
     "file_ranges": _sql(dv.FILES + _PARTS, "SELECT * FROM parts"),
     "first_files": _sql(dv.FILES, "SELECT * FROM files WHERE file_ord < 3"),
-    "missing_ranges": _sql(dv.FILES + _PARTS, "SELECT project_id, CAST(part AS INTEGER) AS part FROM (SELECT DISTINCT project_id FROM files), (SELECT unnest(range(7)) AS part) EXCEPT SELECT project_id, part FROM parts WHERE file_ord % 5 <> 0"),
+    "missing_ranges": _sql(dv.FILES + _PARTS, "SELECT project_id, CAST(part AS INTEGER) AS part FROM (SELECT DISTINCT project_id FROM files), (SELECT unnest(range(7)) AS part) EXCEPT SELECT project_id, part FROM parts WHERE left(md5(project_id || ':' || part), 1) > '4'"),
     "file_order": _sql(dv.COORDS, "SELECT dataset, uri, CAST(row_number() OVER (PARTITION BY dataset ORDER BY first, uri) - 1 AS INTEGER) AS file_ord, first FROM (SELECT dataset, uri, min(value) AS first FROM coords GROUP BY 1, 2)"),
     "chunk_offsets": _sql(dv.META, "SELECT project_id, file_ord, var, n, CAST(coalesce(sum(n) OVER (PARTITION BY project_id, var ORDER BY file_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM meta"),
     "grid_placement": _sql(dv.FILES + ", g AS (SELECT project_id, file_ord, CAST(regexp_extract(uri, 'f(-?[0-9]+)$', 1) AS INTEGER) AS m FROM files), u AS (SELECT project_id, file_ord, 'year' AS dim, floor(m / 12) AS first FROM g UNION ALL SELECT project_id, file_ord, 'month', ((m % 12) + 12) % 12 FROM g)", "SELECT project_id, file_ord, dim, CAST(dense_rank() OVER (PARTITION BY project_id, dim ORDER BY first) - 1 AS INTEGER) AS place FROM u"),
@@ -218,12 +242,12 @@ SQL = {
     "refs_per_file": _sql(dv.REFS, "SELECT project_id, path, count(*) AS refs FROM refs GROUP BY 1, 2"),
     "merged_chunks": _sql(
         dv.REFS + """,
-one AS (SELECT project_id, var, coord, lpad(CAST(sum(size) AS VARCHAR), 8, '0') AS b FROM refs WHERE file_ord % 12 = 0 GROUP BY 1, 2, 3),
+one AS (SELECT project_id, var, coord, lpad(CAST(sum(size) AS VARCHAR), 8, '0') AS b FROM refs GROUP BY 1, 2, 3),
 cn AS (SELECT project_id, var, count(*) AS n FROM one GROUP BY 1, 2),
 cb AS (SELECT project_id, var, max(c) AS comb FROM cn, (SELECT CAST(pow(2, unnest(range(40))) AS BIGINT) AS c) WHERE n % c = 0 AND (c = 1 OR n / (c / 2) > 4) GROUP BY 1, 2)""",
         "SELECT project_id, var, CAST(floor(coord / comb) AS INTEGER) AS coord, string_agg(b, '' ORDER BY one.coord) AS bytes FROM one JOIN cb USING (project_id, var) GROUP BY project_id, var, CAST(floor(coord / comb) AS INTEGER)",
     ),
-    "chunk_consistency": _sql(dv.META, "SELECT project_id, var, CAST(0 AS INTEGER) AS axis, count(DISTINCT CASE WHEN ((file_ord % 40) + 40) % 40 = 7 THEN 2 ELSE 1 END) AS shapes FROM meta GROUP BY 1, 2 HAVING shapes > 1"),
+    "chunk_consistency": _sql(dv.META, "SELECT project_id, var, CAST(0 AS INTEGER) AS axis, count(DISTINCT CASE WHEN ((file_ord % 40) + 40) % 40 = 7 THEN 2 ELSE 1 END) AS shapes, CAST(1 AS INTEGER) AS low, CAST(2 AS INTEGER) AS high FROM meta GROUP BY 1, 2 HAVING shapes > 1"),
     "variable_consistency": _sql(dv.REFS, "SELECT project_id, var, files - count(DISTINCT file_ord) AS missing_files FROM refs JOIN (SELECT project_id, count(DISTINCT file_ord) AS files FROM refs GROUP BY 1) USING (project_id) GROUP BY project_id, var, files HAVING count(DISTINCT file_ord) < files"),
     "unit_conflicts": _sql(dv.META, "SELECT project_id, var, count(DISTINCT units) AS units, count(DISTINCT dtype) AS dtypes FROM meta GROUP BY 1, 2 HAVING count(DISTINCT units) > 1 OR count(DISTINCT dtype) > 1"),
     "dim_roles": _sql(
@@ -238,9 +262,9 @@ vr AS (SELECT project_id, var, count(DISTINCT n) AS versions FROM meta GROUP BY
     "links": _sql(dv.REFS, "SELECT CASE WHEN starts_with(path, '/d1') THEN 'https://data.example.org/d1' || substr(path, 4) ELSE path END AS path, count(*) AS n FROM refs GROUP BY 1"),
     "substitutions": "SELECT page_id, replace(replace(replace(url, 'http://', 'https://'), 'example', 'archive'), '/en/', '/english/') AS url FROM pages",
     "byte_texts": _sql(dv.REFS, f"SELECT project_id, {_bytes_sql('b')} AS text FROM (SELECT project_id, CAST(sum(size) * 997 AS DOUBLE) AS b FROM refs GROUP BY 1)"),
-    "document_round_trip": _sql(dv.REFS, "SELECT project_id, var, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, count(DISTINCT path) AS paths FROM refs GROUP BY 1, 2"),
+    "document_round_trip": _sql(dv.META, "SELECT project_id, var, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, count(DISTINCT path) AS paths, CAST(count(*) AS INTEGER) AS length, 'time' AS dims, arg_min(dtype, file_ord) AS dtype FROM refs JOIN (SELECT project_id, var, file_ord, dtype FROM meta) USING (project_id, var, file_ord) GROUP BY 1, 2"),
     "config_defaults": _sql(dv.PROJECTS, "SELECT project_id, version AS version_no, 'json' AS file_type, 'Unknown' AS pure_dims, 10 AS keys FROM projects"),
-    "virtual_dimension": _sql(dv.REFS, "SELECT project_id, file_ord AS file_number, count(*) AS n, max(coord) AS top FROM refs WHERE var = 'RF' GROUP BY 1, 2"),
+    "virtual_dimension": _sql(dv.REFS, "SELECT project_id, var, file_ord AS file_number, count(*) AS n, max(coord) AS top FROM refs GROUP BY 1, 2, 3"),
     "kept_variables": _sql(dv.META, "SELECT project_id, var, count(*) AS n FROM meta WHERE var IN ('RF', 'NO') AND project_id IN (SELECT project_id FROM meta WHERE var = 'RF') GROUP BY 1, 2"),
     "combined_meta": _sql(dv.META, "SELECT project_id, var, CAST(sum(n) AS INTEGER) AS length, arg_min(dtype, file_ord) AS dtype, arg_min(units, file_ord) AS units FROM meta GROUP BY 1, 2"),
 }

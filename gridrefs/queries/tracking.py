@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -12,6 +10,7 @@ from ..operators import catalog as ct
 from ..operators import sets as st
 from ..operators import status as ss
 from ..sources.readers import add_projects as add
+from ..storage import shared_folder
 from ..streaming import status as stream
 from . import derive as dv
 
@@ -103,6 +102,22 @@ def group_merge(s, d):
     return st.merge_groups(dv.project_sets(s, d), "FRANCE", "GERMANY", "FRANCE-GERMANY")
 
 
+def merged_faults(s, d):
+    """Faulted projects of two merged groups, each once."""
+    p = dv.projects(s, d)
+    k = F.col("project_id").cast("int")
+    faults = p.where(k % 3 == 0).select("group_id", (k % 8).alias("code"), F.concat(F.lit("reason"), F.min("project_id").over(Window.partitionBy("group_id", k % 8))).alias("reason")).distinct()
+    return st.merge_group_tables(faults, "FRANCE", "GERMANY", "FRANCE-GERMANY", "code")
+
+
+def nested_attributes(s, d):
+    """A dotted attribute set in nested configs; other keys stay."""
+    p = dv.projects(s, d).withColumn("base", F.format_string('{"override":{"file_type":"json","deep":{"n":%d}},"n":1}', F.col("project_id").cast("int")))
+    out = ct.set_attribute(ct.set_attribute(p, "override.deep.flag", "True"), "override.file_type", "parq", p.where("project_id % 2 = 1"))
+    get = lambda path: F.get_json_object("base", path)
+    return out.select("project_id", get("$.override.file_type").alias("file_type"), get("$.override.deep.n").alias("deep_n"), get("$.override.deep.flag").alias("flag"), get("$.n").alias("n"))
+
+
 def group_split(s, d):
     sets = dv.project_sets(s, d)
     return st.split_group(sets, sets.where("project_id % 4 = 1"), "FRANCE", "FRANCE-2")
@@ -180,15 +195,14 @@ def time_texts(s, d):
 
 def streamed_status(s, d):
     """The last status as a stream of appended log files leaves it."""
-    base = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    name = f"status_{uuid.uuid4().hex[:12]}"
-    dv.status_log(s, d).repartitionByRange(4, "line_no").write.parquet(f"{base}/{name}/log")
-    lines = stream.read_log_stream(s, f"{base}/{name}/log", files_per_trigger=2)
-    stream.follow(lines, f"{base}/{name}/state", name).awaitTermination()
-    return s.table(name).drop("job_id")
+    top = shared_folder(s, "status")
+    dv.status_log(s, d).repartitionByRange(4, "line_no").write.parquet(f"{top}/log")
+    lines = stream.read_log_stream(s, f"{top}/log", files_per_trigger=2)
+    stream.follow(lines, f"{top}/state", f"{top}/table").awaitTermination()
+    return stream.followed(s, f"{top}/table").drop("job_id")
 
 
-QUERIES = {f.__name__: f for f in (last_status, phase_reached, status_table, validate_split, group_overview, stale_pending, next_steps, ready_groups, method_counts, fault_counts, status_select, status_split, quarantine, bulk_redo, subset_union, subset_distinct, saved_subset, group_merge, group_split, transfer, remove_projects, block_of_group, group_sizes, add_projects, group_summary, attribute_check, attribute_set, stac_records, catalog_items, revisions, code_check, time_texts, streamed_status)}
+QUERIES = {f.__name__: f for f in (last_status, phase_reached, status_table, validate_split, group_overview, stale_pending, next_steps, ready_groups, method_counts, fault_counts, status_select, status_split, quarantine, bulk_redo, subset_union, subset_distinct, saved_subset, group_merge, merged_faults, nested_attributes, group_split, transfer, remove_projects, block_of_group, group_sizes, add_projects, group_summary, attribute_check, attribute_set, stac_records, catalog_items, revisions, code_check, time_texts, streamed_status)}
 
 _STALE = f"CASE WHEN status = 'Pending' AND epoch(TIMESTAMP '{NOW}') - floor(epoch(ts)) > 86400 THEN 'JobCancelled' ELSE status END"
 _NUM = "CASE phase WHEN 'init' THEN 0 WHEN 'scan' THEN 1 WHEN 'compute' THEN 2 WHEN 'validate' THEN 3 ELSE 4 END"
@@ -215,6 +229,8 @@ SELECT phase, status, n, round(100 * sum(n) OVER (PARTITION BY phase) / sum(n) O
     "subset_distinct": f"WITH {dv.SETS}, m AS (SELECT group_id, project_id, max(set_id) AS set_id, arg_max(pos, set_id) AS pos FROM sets GROUP BY 1, 2) SELECT group_id, 'all' AS set_id, project_id, CAST(row_number() OVER (PARTITION BY group_id ORDER BY set_id DESC, pos) - 1 AS INTEGER) AS pos FROM m",
     "saved_subset": f"WITH {dv.SETS} SELECT group_id, 'third' AS set_id, project_id, CAST(row_number() OVER (PARTITION BY group_id ORDER BY pos) - 1 AS INTEGER) AS pos FROM sets WHERE set_id = 'main' AND k % 3 = 1",
     "group_merge": f"WITH {dv.SETS} SELECT group_id, set_id, project_id, pos FROM sets WHERE group_id NOT IN ('FRANCE', 'GERMANY') UNION ALL SELECT 'FRANCE-GERMANY', set_id, project_id, CAST(row_number() OVER (PARTITION BY set_id ORDER BY group_id, pos, project_id) - 1 AS INTEGER) FROM sets WHERE group_id IN ('FRANCE', 'GERMANY')",
+    "merged_faults": f"WITH {dv.PROJECTS}, f AS (SELECT group_id, CAST(k % 8 AS INTEGER) AS code, 'reason' || min(project_id) AS reason FROM projects WHERE k % 3 = 0 GROUP BY 1, 2) SELECT * FROM f WHERE group_id NOT IN ('FRANCE', 'GERMANY') UNION ALL SELECT 'FRANCE-GERMANY', code, reason FROM f WHERE group_id = 'FRANCE' OR (group_id = 'GERMANY' AND code NOT IN (SELECT code FROM f WHERE group_id = 'FRANCE'))",
+    "nested_attributes": f"WITH {dv.PROJECTS} SELECT project_id, CASE WHEN k % 2 = 1 THEN 'parq' ELSE 'json' END AS file_type, project_id AS deep_n, 'true' AS flag, '1' AS n FROM projects",
     "group_split": f"WITH {dv.SETS} SELECT group_id, set_id, project_id, pos FROM sets WHERE group_id <> 'FRANCE' UNION ALL SELECT group_id, set_id, project_id, CAST(row_number() OVER (PARTITION BY set_id ORDER BY pos) - 1 AS INTEGER) FROM sets WHERE group_id = 'FRANCE' AND k % 4 <> 1 UNION ALL SELECT 'FRANCE-2', set_id, project_id, CAST(row_number() OVER (PARTITION BY set_id ORDER BY pos) - 1 AS INTEGER) FROM sets WHERE group_id = 'FRANCE' AND k % 4 = 1 AND set_id = 'main'",
     "transfer": f"WITH {dv.SETS}, top AS (SELECT coalesce(max(pos), -1) AS top FROM sets WHERE group_id = 'GERMANY' AND set_id = 'main') SELECT group_id, set_id, project_id, pos FROM sets WHERE NOT (group_id = 'FRANCE' AND k % 4 = 1) UNION ALL SELECT 'GERMANY', 'main', project_id, CAST((SELECT top FROM top) + row_number() OVER (ORDER BY pos, project_id) AS INTEGER) FROM sets WHERE group_id = 'FRANCE' AND k % 4 = 1 AND set_id = 'main'",
     "remove_projects": f"WITH {dv.SETS} SELECT group_id, set_id, project_id, pos FROM sets WHERE k % 10 <> 0",

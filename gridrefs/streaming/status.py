@@ -19,25 +19,31 @@ def latest_stream(lines: DataFrame) -> DataFrame:
     return last_status(lines)
 
 
-def follow(lines: DataFrame, checkpoint: str, table: str):
-    """Keep a table of the last status by ``foreachBatch``: every batch's changed projects replace their rows.
+def follow(lines: DataFrame, checkpoint: str, path: str):
+    """Keep the last status of each project below a path by ``foreachBatch``; read it with :func:`current` or :func:`followed`.
 
-    The pending-too-long rule depends on a clock, so it is applied when the table is read, see :func:`current`.
+    Each batch writes the changed projects' rows to a folder of its own, named by the batch, so that a
+    repeated batch replaces what its failed attempt left and no other row is touched.
     """
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        if spark.catalog.tableExists(table):
-            old = spark.table(table).join(batch.select("group_id", "project_id"), ["group_id", "project_id"], "left_anti")
-            batch = old.unionByName(batch)
-        side = f"{table}_next"
-        batch.write.mode("overwrite").saveAsTable(side)
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {side} RENAME TO {table}")
+    def append(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    return latest_stream(lines).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
+    return latest_stream(lines).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(append).start()
 
 
-def current(spark: SparkSession, table: str) -> DataFrame:
-    """The followed table with projects that pend for over a day as cancelled."""
-    return cancel_stale(spark.table(table), F.current_timestamp())
+def followed(spark: SparkSession, path: str) -> DataFrame:
+    """The last status of each project: that of its latest batch."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    last = F.max_by(F.struct("phase", "status", "ts", "job_id"), "epoch")
+    return rows.groupBy("group_id", "project_id").agg(last.alias("s")).select("group_id", "project_id", "s.phase", "s.status", "s.ts", "s.job_id")
+
+
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Write the followed statuses as one batch below another path, once a stream has left many."""
+    followed(spark, path).write.parquet(f"{target}/epoch=-1")
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The followed statuses, with projects that pend for over a day as cancelled."""
+    return cancel_stale(followed(spark, path), F.current_timestamp())

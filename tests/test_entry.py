@@ -1,5 +1,7 @@
 """The driver contract."""
 
+import json
+
 import __spark_entry__
 
 
@@ -10,13 +12,25 @@ def test_entry_and_queries(spark):
 
 
 def test_reports_round_trip(spark, tmp_path):
+    from gridrefs.operators import report as rp
     from gridrefs.sources import writers
 
-    schema = "project_id string, part string, section string, error string, parent string, name string, skipped boolean"
-    report = spark.createDataFrame([("a", "data", "variables", "size_errors", None, "v", False), ("b", "metadata", "attributes", "missing", "global", "t", True)], schema)
+    schema = "project_id string, part string, section string, error string, parent string, name string, detail map<string,string>, skipped boolean"
+    rows = [("007", "data", "variables", "size_errors", None, "v", {"test": "1"}, False), ("b", "metadata", "attributes", "missing", "global", 't"x', None, True)]
+    report = spark.createDataFrame(rows, schema)
     writers.write_report(report, str(tmp_path / "r"))
-    got = {r["project_id"]: r["value"] for r in writers.read_reports(spark, str(tmp_path / "r")).collect()}
-    assert set(got) == {"a", "b"} and "size_errors" in got["a"]
+    got = rp.unnest(writers.read_reports(spark, str(tmp_path / "r"))).select(*report.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows, key=repr)
+
+
+def test_nested_attributes(spark):
+    from gridrefs.operators import catalog as ct
+
+    df = spark.createDataFrame([("a", '{"x":{"y":1,"z":"q"},"y":[1,2],"remote":false}'), ("b", "{}")], "project_id string, base string")
+    get = lambda name, value: [json.loads(r["base"]) for r in ct.set_attribute(df, name, value).orderBy("project_id").collect()]
+    assert get("x.y", "True") == [{"x": {"y": True, "z": "q"}, "y": [1, 2], "remote": False}, {"x": {"y": True}}]
+    assert get("y", 'a"b') == [{"x": {"y": 1, "z": "q"}, "y": 'a"b', "remote": False}, {"y": 'a"b'}]
+    assert get("x.q.r", "None")[0]["x"] == {"y": 1, "z": "q", "q": {"r": None}}
 
 
 def test_projects_are_added_once(spark):
