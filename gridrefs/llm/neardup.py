@@ -45,8 +45,10 @@ HASHES, BANDS = 128, 32
 AGREE = 72
 SEED = 20_240_229
 #: Members, and bytes of their sets, that a side of a tile holds.
-TILE = 1024
+TILE = 512
 TILE_BYTES = 32 << 20
+#: Pairs of signatures that a task compares, or so.
+TASK_PAIRS = 20_000_000
 #: Words of a text that are hashed at a time, so that very long texts take bounded memory.
 CHUNK_WORDS = 100_000
 
@@ -221,11 +223,12 @@ def _edges(rep: np.ndarray, pairs: list[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
-def _alike(buckets: DataFrame) -> DataFrame:
+def _alike(buckets: DataFrame, pairs: int) -> DataFrame:
     """Edges that connect whatever members of a bucket, of different components, agree by signature.
 
     A bucket of n members is cut into ceil(n / TILE) parts; every two parts meet in one task as a
-    tile. A tile returns a spanning forest of its agreeing pairs, at most an edge a member.
+    tile. A tile returns a spanning forest of its agreeing pairs, at most an edge a member. All
+    buckets hold so many ``pairs``; tiles are dealt to tasks by that, as their bytes say little.
     """
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -244,7 +247,9 @@ def _alike(buckets: DataFrame) -> DataFrame:
 
     members = buckets.withColumn("parts", F.expr(f"(n + {TILE - 1}) div {TILE}")).withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
     tiles = members.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-    return tiles.select("band", "key", "i", "j", "rep", "comp", "sig", "part").groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long")
+    tasks = int(min(100_000, max(buckets.sparkSession.sparkContext.defaultParallelism, pairs // TASK_PAIRS)))
+    dealt = tiles.select("band", "key", "i", "j", "rep", "comp", "sig", "part").repartition(tasks, "band", "key", "i", "j")
+    return dealt.groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def _intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -343,7 +348,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = stars.join(first, ["a", "b"], "left_anti").join(comp_of("a"), "a", "left").join(comp_of("b"), "b", "left").where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
     with_comp = buckets.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("band", "key", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = with_comp.groupBy("band", "key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 <> c1").select("band", "key", "n")
-    across = _alike(with_comp.join(mixed, ["band", "key"]).join(sig, "rep"))
+    mixed = stored(mixed, "minhash-mixed")
+    pairs = mixed.agg(F.sum(F.col("n") * F.col("n") / 2).alias("p")).first()["p"] or 0
+    across = _alike(with_comp.join(mixed, ["band", "key"]).join(sig, "rep"), int(pairs))
     # Families hold all pairs that are left; their whole texts decide.
     families = stored(connected_components(left.unionByName(across)), "minhash-families")
     members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select("family", "rep", F.coalesce("component", "rep").alias("comp"))
@@ -358,7 +365,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Sets to components, documents to sets.
     by_set = stored(sets.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("set_lo", "set_hi", "members", F.coalesce("component", "rep").alias("component_id")), "minhash-by-set")
     rows = stored(signed.select("doc_id", "n_shingles", "set_lo", "set_hi"), "minhash-rows")
-    drop(signed, sets, reps, buckets, stars, links, comps, families, members, forests, more, final)
+    drop(signed, sets, reps, buckets, stars, links, comps, mixed, families, members, forests, more, final)
     linked = rows.where("n_shingles > 0 and doc_id is not null")
     alone = rows.where("not (n_shingles > 0 and doc_id is not null)").withColumn("component_id", F.col("doc_id"))
     out = join_unique(linked, by_set, ["set_lo", "set_hi"], "members", rows.count()).select("doc_id", "n_shingles", "component_id")

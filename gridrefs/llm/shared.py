@@ -1,14 +1,10 @@
-"""Shared-folder, file-system and join helpers of the training-data operators.
+"""File-system and join helpers of the training-data operators.
 
-Everything that has to outlive a task is written below the folder that the cluster
-names in ``spark.checkpoint.dir``; executors and the driver all see that folder.
-Only in local mode, where the setting may be unset, is a folder made here.
+Tables and files are stored by ``gridrefs.storage``.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -16,9 +12,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import delete, delete_all, drop, shared_folder, stored  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -29,49 +27,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new, unique folder path (not yet created) in the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="gridrefs-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{_run_folder(spark, base)}/{name}-{uuid.uuid4().hex[:16]}"
-
-
-def _run_folder(spark: SparkSession, base: str) -> str:
-    return f"{base.rstrip('/')}/gridrefs/{spark.sparkContext.applicationId}"
-
-
-def delete_all(spark: SparkSession) -> None:
-    """Delete whatever the operators stored for this application, once their results are written elsewhere."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        delete(spark, _run_folder(spark, base))
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    back._stored_at = path
-    return back
-
-
-def drop(*frames: DataFrame) -> None:
-    """Delete the files of frames made by :func:`stored` that nothing reads any more."""
-    for df in frames:
-        delete(df.sparkSession, df._stored_at)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared file system, from the driver."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """pyarrow's file system and path of a Spark-style URI (``file:/x``, ``s3a://..``)."""
     if "://" not in uri:
