@@ -16,9 +16,11 @@ i AS (SELECT DISTINCT item_id, {_WORDS.format(_LOWER)} AS w FROM benchmark),
 ds AS (SELECT doc_id, unnest(range(len(w) - 4)) AS pos, unnest({_SHINGLES}) AS sh, len(w) - 4 AS total FROM d WHERE len(w) >= 5),
 bs AS (SELECT item_id, sh, count(*) AS n FROM (SELECT item_id, unnest({_SHINGLES}) AS sh FROM i WHERE len(w) >= 5) GROUP BY 1, 2),
 size AS (SELECT item_id, sum(n) AS size FROM bs GROUP BY 1),
-hits AS (SELECT doc_id, item_id, pos AS start, total, size FROM ds JOIN bs USING (sh) JOIN size USING (item_id)),
-common AS (SELECT h.doc_id, h.item_id, h.start, h.total, h.size, s.sh, least(count(*), any_value(b.n)) AS n
-  FROM hits h JOIN ds s ON s.doc_id = h.doc_id AND s.pos >= h.start AND s.pos < h.start + h.size JOIN bs b ON b.item_id = h.item_id AND b.sh = s.sh GROUP BY 1, 2, 3, 4, 5, 6),
+hits AS (SELECT doc_id, item_id, pos, ds.sh, total, size, b.n AS need FROM ds JOIN bs b USING (sh) JOIN size USING (item_id)),
+pairs AS (SELECT doc_id, item_id, any_value(total) AS total, any_value(size) AS size, min(pos) AS low, max(pos) AS high FROM hits GROUP BY 1, 2),
+windows AS (SELECT doc_id, item_id, total, size, unnest(range(greatest(0, low - CAST(size AS BIGINT) + 1), high + 1)) AS start FROM pairs),
+common AS (SELECT w.doc_id, w.item_id, w.start, w.total, w.size, h.sh, least(count(*), any_value(h.need)) AS n
+  FROM windows w JOIN hits h ON h.doc_id = w.doc_id AND h.item_id = w.item_id AND h.pos >= w.start AND h.pos < w.start + w.size GROUP BY 1, 2, 3, 4, 5, 6),
 sim AS (SELECT doc_id, item_id, start, sum(n) / (any_value(least(size, total - start)) + any_value(size) - sum(n)) AS similarity FROM common GROUP BY 1, 2, 3)
 SELECT doc_id, item_id, round(max(similarity), 6) AS similarity FROM sim WHERE similarity >= 0.75 GROUP BY 1, 2"""
 

@@ -199,3 +199,22 @@ def test_pipeline(spark):
     assert decontam.contaminated(docs, table(spark, DATA, "benchmark")).count() == 0
     rows = corpus_pipeline.run(spark, DATA)
     assert sorted(r["doc_id"] for r in rows.collect()) == sorted(r["doc_id"] for r in docs.collect())
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_of_odd_rows(spark, odd_docs, no_docs, tmp_path, empty):
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, i % 2, None) for i in range(12)] + [(None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "a b c d e f g h"), (2, None), (None, "one two")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = no_docs if empty else odd_docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        rows = out.count()
+        assert rows == 0 if empty else rows > 0
+        if name != "mixing":
+            assert out.exceptAll(docs).count() == 0
+        if name == "decontamination" and not empty:
+            assert out.where("text = 'one two'").count() == 0 and out.where("doc_id is null").count() == 1
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() == docs.count()
