@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
 read again as the next one's ``docs``. All but the last return the columns of ``docs``.
+
+Cases: null and empty texts are scored like any others, are no near-duplicates, hold no item and
+count no words, so that the mix takes them by their source's whole repetitions and keys; rows of a
+null id are never near-duplicates and are removed as contaminated by their own text; repeated rows go
+or stay together, but for near-duplicates, where all rows of the kept id stay; an empty table passes
+through every stage; extra columns, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
