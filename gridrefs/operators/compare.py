@@ -37,10 +37,11 @@ def align(samples: DataFrame, test: DataFrame, rtol: float = 1e-5, atol: float =
 
     ``samples`` has (dataset, sample, dim, first, length); ``test`` coords. Values are put in cells
     of a logarithmic grid coarser than the tolerance, so the tolerance join is an equality join on
-    the cell and its neighbours.
+    the cells in which the ends of a sample's interval lie.
     """
     grid = lambda v: F.when(F.abs(v) <= 1e-3, F.lit(0).cast("bigint")).otherwise(F.signum(v) * F.floor(F.log(F.abs(v)) / 1e-3 + 100_000)).cast("bigint")
-    left = samples.withColumn("cell", F.explode(F.array(*[grid(F.col("first")) + d for d in (-1, 0, 1)])))
+    reach = atol + rtol * F.abs("first")
+    left = samples.withColumn("cell", F.explode(F.array_distinct(F.array(grid(F.col("first") - reach), grid(F.col("first")), grid(F.col("first") + reach)))))
     found = left.join(test.select("dataset", "dim", "pos", "value", grid(F.col("value")).alias("cell")), ["dataset", "dim", "cell"])
     near = F.abs(F.col("value") - F.col("first")) <= atol + rtol * F.abs(F.col("first"))
     hit = F.when(F.col("length") < 2, F.col("value") == F.col("first")).otherwise(near)

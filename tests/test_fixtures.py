@@ -274,6 +274,9 @@ def test_alignment_is_within_tolerance(spark):
     samples = spark.createDataFrame([("d", "a", "x", 3.00001, 2), ("d", "b", "x", 7.00000001, 1), ("d", "c", "x", 7.00000001, 2), ("d", "e", "x", 0.0, 3)], "dataset string, sample string, dim string, first double, length int")
     got = {r["sample"]: r["start"] for r in cp.align(samples, test).collect()}
     assert got == {"a": 3, "b": None, "c": 5, "e": 1}
+    edge = spark.createDataFrame([("d", "x", 0, 5.0), ("d", "x", 1, 0.001000004)], "dataset string, dim string, pos int, value double")
+    near = spark.createDataFrame([("d", "a", "x", 0.000999998, 2)], "dataset string, sample string, dim string, first double, length int")
+    assert cp.align(near, edge).first()["start"] == 1  # across the end of the linear cell
 
 
 def test_shifted_cells(spark):
