@@ -38,10 +38,24 @@ def delete_all(spark: SparkSession) -> None:
         delete(spark, _run_folder(spark, base))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+#: Setting of the bytes of an Arrow batch.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here.
+
+    ``batch_bytes`` bounds Arrow batches during this write, where Python tasks hold whole texts; the
+    session's own setting holds before and after.
+    """
+    spark = df.sparkSession
+    path, before = shared_folder(spark, name), spark.conf.get(_BATCH)
+    if batch_bytes is not None:
+        spark.conf.set(_BATCH, str(batch_bytes))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._stored_at = path
     return back
