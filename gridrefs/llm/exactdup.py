@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_bytes, drop, join_unique, lower_ascii, open_fs, shared_folder, stored
+from .shared import TEXT_BATCH, by_bytes, drop, join_unique, lower_ascii, open_fs, shared_folder, stored
 
 #: Bytes of distinct texts a bucket should hold at most; raised so that there are at most 2^15 buckets.
 BUCKET_BYTES = 32 << 20
@@ -220,7 +220,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         folded = fold(dealt)
     files = folded.repartitionById(len(directory.buckets), F.col("bucket")).sortWithinPartitions("bucket", "key").mapInArrow(_owner(folder), "bucket int, path string")
-    files = stored(files, "exact-files")
+    files = stored(files, "exact-files", TEXT_BATCH)
     n = max(1, files.count())
     entries = files.repartitionById(n, F.pmod(F.col("bucket"), F.lit(n)).cast("int")).mapInArrow(_entries(folder), "key long, text_sha256 string, keep_id string, group_size long, bucket int, path string, at long, position int")
     return stored(entries.withColumn("keep_id", F.col("keep_id").cast(kind)), "exact-groups"), prints, total

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import by_bytes, drop, join_unique, stored, without
+from .shared import TEXT_BATCH, by_bytes, drop, join_unique, stored, without
 
 WORDS = 5
 #: Linked if 100 * intersection >= PERCENT * union.
@@ -319,7 +319,7 @@ def _links_in_families(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stored(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_lo long, set_hi long, bands array<long>, sig binary"), "minhash-signed")
+    signed = stored(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_lo long, set_hi long, bands array<long>, sig binary"), "minhash-signed", TEXT_BATCH)
 
     # One representative, the smallest id, for each set.
     sets = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_lo", "set_hi").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members"))
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = stars.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
     stars = stored(stars.where(_agreeing(F.col("sig_a"), F.col("sig_b"))).select("a", "b"), "minhash-stars")
     first = stars.groupBy("a").agg(F.min("b").alias("b"))
-    links = stored(confirm_links(first, _texts_of(source, first)), "minhash-links")
+    links = stored(confirm_links(first, _texts_of(source, first)), "minhash-links", TEXT_BATCH)
     comps = stored(connected_components(links), "minhash-components")
 
     # Second pass: what shares a bucket, or is a star, across components.
@@ -357,9 +357,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     biggest = members.groupBy("family", "comp").agg(F.count("*").alias("n")).groupBy("family").agg(F.max(F.struct("n", "comp")).getField("comp").alias("big"))
     members = members.join(biggest, "family").select("family", "rep", "comp", (F.col("comp") == F.col("big")).alias("is_big"))
     members = members.join(source.select(F.col("doc_id").alias("rep"), "text"), "rep").select("family", "rep", "comp", "is_big", "text")
-    members = stored(members.mapInArrow(_hash_sets, "family long, rep long, comp long, is_big boolean, hashes binary"), "minhash-members")
+    members = stored(members.mapInArrow(_hash_sets, "family long, rep long, comp long, is_big boolean, hashes binary"), "minhash-members", TEXT_BATCH)
     forests = stored(_links_in_families(members).distinct(), "minhash-forests")
-    more = stored(confirm_links(forests, _texts_of(source, forests)), "minhash-more")
+    more = stored(confirm_links(forests, _texts_of(source, forests)), "minhash-more", TEXT_BATCH)
     final = stored(connected_components(links.unionByName(more)), "minhash-final")
 
     # Sets to components, documents to sets.

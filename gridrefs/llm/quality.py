@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,10 +110,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -
     return Model(good, bad, _logistic(x, y))
 
 
-def predict(model: Model | None, texts: list[str | None]) -> np.ndarray:
-    """Scores between 0 and 1; higher: label 1 likelier."""
+def predict(model: Model | None, texts: Iterable[str | None], n: int) -> np.ndarray:
+    """Scores of n texts between 0 and 1; higher: label 1 likelier."""
     if model is None:
-        return np.full(len(texts), 0.5)
+        return np.full(n, 0.5)
     x = features(((t or "").encode() for t in texts), model.good, model.bad)
     return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
 
@@ -122,10 +122,11 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataF
     """``docs`` as struct ``doc`` with its score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
 
-    @F.pandas_udf("double")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            yield pd.Series(predict(shared.value, list(part)))
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:  # one text at a time leaves Arrow's memory
+            yield pa.array(predict(shared.value, (x.as_py() for x in part), len(part)), pa.float64())
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.struct("*").alias("doc"), scored(F.col(text_col)).alias("score"))
 

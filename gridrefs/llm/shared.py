@@ -23,6 +23,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A word of the operators' contracts, for Java's and DuckDB's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch of texts that Python tasks get.
+TEXT_BATCH = 8 << 20
+
 #: A join side of at most so many narrow rows is broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -34,7 +37,7 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut into runs of whole rows that hold about ``limit`` bytes of a text column, so that a task's memory is bounded."""
     for batch in batches:
         run = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // limit
@@ -42,6 +45,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 2
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def lower_ascii(col: Column) -> Column:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import by_bytes, open_fs, shared_folder, stored
+from .shared import TEXT_BATCH, by_bytes, open_fs, shared_folder, stored
 from .tokens import encoder
 
 #: Ids a block.
@@ -61,7 +61,7 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.nulls(1, pa.int64()), pa.nulls(1, keys.type), pa.array([ids], pa.int64())], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(write, f"path string, ordinal long, doc_id {kind}, n_ids long"), "token-order")
+    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(write, f"path string, ordinal long, doc_id {kind}, n_ids long"), "token-order", TEXT_BATCH)
     files = rows.where("n_ids is not null").select("path", "n_ids")
     return files, rows.where("n_ids is null").select("path", "ordinal", "doc_id"), folder, encoder(tokenizer, keep_special_text=True).dtype.itemsize
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import by_bytes, hash_sample, open_fs, shared_folder, stored
+from .shared import TEXT_BATCH, by_bytes, hash_sample, open_fs, shared_folder, stored
 from .tokens import encoder
 
 MAGIC = b"GTOK0001"
@@ -134,7 +134,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("data"), "n_ids")
         .mapInArrow(write, "file_no int, path string, n_docs long, n_ids long")
     )
-    return stored(done, "token-manifest"), folder
+    return stored(done, "token-manifest", TEXT_BATCH), folder
 
 
 def read_index(fs, path: str) -> tuple[bytes, int, np.ndarray, int]:

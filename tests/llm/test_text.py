@@ -118,7 +118,7 @@ def test_quality_is_learnt_from_long_texts_too(spark, monkeypatch):
     monkeypatch.setattr(quality, "SAMPLE_CHARS", 1000)
     rows = [("good words of a fine story " * 100, 1), ("bad 0101 $$$ " * 300, 0), ("good words here " * 200, 1), (None, 0)]
     model = quality.fit(spark.createDataFrame(rows, "text string, label int"))
-    assert model is not None and len(quality.predict(model, ["good words", "bad $$$"])) == 2
+    assert model is not None and len(quality.predict(model, ["good words", "bad $$$"], 2)) == 2
 
 
 def test_query_of_quality_has_fold_and_threshold(spark):
