@@ -24,7 +24,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of an Arrow batch of texts that Python tasks get.
-TEXT_BATCH = 8 << 20
+TEXT_BATCH = 4 << 20
 
 #: A join side of at most so many narrow rows is broadcast.
 BROADCAST_ROWS = 200_000

@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Cached pieces of a worker, in two generations: a full young one becomes the old one.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 250_000
 #: Pieces whose ids are gathered at a time.
-GROUP_PIECES = 1 << 18
+GROUP_PIECES = 1 << 17
 
 #: Texts that go whole: white space at an end, next to other white space or other than blank and line end; \x01; special tokens.
 _UNSURE = r"^[ \n]|[ \n]$|[ \n][ \n]|[\x01\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|<\|"
