@@ -17,7 +17,7 @@ def rechunk_scheme(dims: DataFrame, preferred: DataFrame | None = None) -> DataF
     """New chunk length of each dimension (dataset, dim, size): a preferred one, else near 10000 * size / total where the total is over 20000, else near a tenth; always a divisor."""
     total = dims.groupBy("dataset").agg(F.sum("size").alias("total"))
     rows = dims.join(total, "dataset")
-    target = F.when(F.col("total") > 20000, 10000 * F.col("size") / F.col("total")).otherwise(F.col("size") / 10)
+    target = F.when(F.col("total") > 20000, 10000.0 * F.col("size") / F.col("total")).otherwise(F.col("size") / 10)
     if preferred is not None:
         rows = rows.join(preferred.select("dataset", "dim", "target"), ["dataset", "dim"], "left")
         target = F.coalesce(F.col("target").cast("double"), target)

@@ -393,3 +393,8 @@ def test_scalar_functions(spark):
     assert get(tx.fit_width(F.lit("abcdef"), 5, dots=True)) == "ab..." and get(tx.fit_width(F.lit("ab"), 4)) == "ab  "
     assert [get(tx.closest_divisor(F.lit(n), F.lit(t))) for n, t in ((12, 5.0), (7, 3.0), (100, 9.0))] == [4, 1, 10]
     assert get(tx.revision(F.lit("kerchunk"), F.lit(True), F.lit("1.2"))) == "kr1.2" and get(tx.next_minor(F.lit("1.9"))) == "1.10"
+
+
+def test_rechunk_scheme_of_large_dims(spark):
+    dims = spark.createDataFrame([("d", "x", 648_000), ("d", "time", 18_000)], "dataset string, dim string, size int")
+    assert {r["dim"]: r["chunk"] for r in rc.rechunk_scheme(dims).collect()} == {"x": 10_125, "time": 250}
