@@ -16,11 +16,11 @@ def fixed(value: Column, digits: int) -> Column:
     return F.replace(F.format_number(value, digits), F.lit(","), F.lit(""))
 
 
-def format_bytes(value: Column) -> Column:
-    """Bytes as text: divided by 1000 while above 1000, two decimals and unit; null stays null."""
-    value = value.cast("double")
-    out = F.concat(fixed(value / 1000.0 ** (len(UNITS) - 1), 2), F.lit(f" {UNITS[-1]}B"))
-    for k in range(len(UNITS) - 2, -1, -1):
+def format_bytes(value: Column, largest: str = UNITS[-1]) -> Column:
+    """Bytes as text: divided by 1000 while above 1000 and below the largest unit, two decimals and unit; null stays null."""
+    value, top = value.cast("double"), UNITS.index(largest)
+    out = F.concat(fixed(value / 1000.0**top, 2), F.lit(f" {largest}B"))
+    for k in range(top - 1, -1, -1):
         out = F.when(value / 1000.0**k <= 1000, F.concat(fixed(value / 1000.0**k, 2), F.lit(f" {UNITS[k]}B"))).otherwise(out)
     return F.when(value.isNotNull(), out)
 

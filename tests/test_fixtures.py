@@ -398,3 +398,14 @@ def test_scalar_functions(spark):
 def test_rechunk_scheme_of_large_dims(spark):
     dims = spark.createDataFrame([("d", "x", 648_000), ("d", "time", 18_000)], "dataset string, dim string, size int")
     assert {r["dim"]: r["chunk"] for r in rc.rechunk_scheme(dims).collect()} == {"x": 10_125, "time": 250}
+
+
+def test_group_summary_of_large_groups(spark, tmp_path):
+    from gridrefs.queries import tracking
+
+    n = 2_000
+    spark.range(n).selectExpr("id * 900 + 898 as s_suppkey", "0 as s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    got = tracking.group_summary(spark, str(tmp_path)).first()
+    assert got["source_sum"] > 1e15 and got["source_text"] == f"{got['source_sum'] / 1e12:.2f} TB"
+    assert spark.range(1).select(tx.format_bytes(F.lit(1.5e15)), tx.format_bytes(F.lit(1.5e15), "T"), tx.format_bytes(F.lit(10.0), "T")).first()[:] == ("1.50 PB", "1500.00 TB", "10.00 B")
