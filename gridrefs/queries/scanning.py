@@ -10,7 +10,7 @@ from ..operators import combine as cb
 from ..operators import refs as rf
 from ..schemas import REFS
 from ..sources import readers, writers
-from ..storage import shared_folder
+from ..storage import shared_folder, stored
 from . import derive as dv
 
 
@@ -150,15 +150,15 @@ def byte_texts(s, d):
 def document_round_trip(s, d):
     """Whole combined documents, written for projects small enough and read back, united with a store of the others."""
     refs = dv.refs(s, d)
-    meta = dv.var_meta(s, d)
+    meta = stored(dv.var_meta(s, d), "meta")
     offsets = cb.along(cb.chunk_offsets(cb.chunk_counts(meta)))
-    whole = cb.combined_refs(refs, offsets)
+    whole = stored(cb.combined_refs(refs, offsets), "combined")
     places = meta.select("project_id", "file_ord", F.lit("time").alias("dim"), F.col("file_ord").alias("place")).distinct()
     docs, large = writers.documents(whole, cb.combined_meta(meta, places))
     top = shared_folder(s, "documents")
     writers.write_documents(docs, f"{top}/json")
     writers.write_store(whole.join(large, "project_id", "left_semi").select(*[c.split()[0] for c in REFS.split(", ")]), f"{top}/store")
-    back = s.read.schema("value string, project_id string").text(f"{top}/json").select(F.col("project_id").alias("uri"), "value")
+    back = writers.read_documents(s, f"{top}/json").select(F.col("project_id").alias("uri"), "value")
     rows = readers.explode_documents(back).select(F.col("uri").alias("project_id"), F.lit(0).alias("file_ord"), "key", "value")
     parsed = rf.parse_refs(rows)
     found = parsed.unionByName(writers.read_store(s, f"{top}/store").select(*parsed.columns)).groupBy("project_id", "var").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("path").alias("paths"))

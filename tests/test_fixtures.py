@@ -409,3 +409,25 @@ def test_group_summary_of_large_groups(spark, tmp_path):
     got = tracking.group_summary(spark, str(tmp_path)).first()
     assert got["source_sum"] > 1e15 and got["source_text"] == f"{got['source_sum'] / 1e12:.2f} TB"
     assert spark.range(1).select(tx.format_bytes(F.lit(1.5e15)), tx.format_bytes(F.lit(1.5e15), "T"), tx.format_bytes(F.lit(10.0), "T")).first()[:] == ("1.50 PB", "1500.00 TB", "10.00 B")
+
+
+def test_files_of_writers_follow_bytes(spark, tmp_path):
+    """Stores, documents, reports and logs of many projects need few files, and their texts come back."""
+    n, count = 300, lambda name: sum(1 for f in (tmp_path / name).rglob("*") if f.is_file() and not f.name.startswith((".", "_")))
+    ids = spark.range(0, n, 1, 4).select(F.format_string("%05d", "id").alias("project_id"), "id")
+    refs = ids.selectExpr("project_id", "0 file_ord", "'v' var", "array(0) coords", "'/a b\"' path", "0L offset", "id size", "cast(null as binary) inline")
+    writers.write_store(refs, str(tmp_path / "store"))
+    assert sorted(writers.read_store(spark, str(tmp_path / "store")).select(*refs.columns).collect()) == sorted(refs.collect())
+    docs = writers.documents(refs)[0]
+    writers.write_documents(docs, str(tmp_path / "docs"))
+    back = writers.read_documents(spark, str(tmp_path / "docs"))
+    assert {r["project_id"]: json.loads(r["value"]) for r in back.collect()} == {r["project_id"]: json.loads(r["value"]) for r in docs.collect()}
+    report = ids.selectExpr("project_id", "'data' part", "'variables' section", "'size_errors' error", "cast(null as string) parent", "'v' name", "map('a', project_id) detail", "false skipped")
+    writers.write_report(report, str(tmp_path / "reports"))
+    assert rp.unnest(writers.read_reports(spark, str(tmp_path / "reports"))).where("detail['a'] = project_id").count() == n
+    lines = ids.selectExpr("'g' group_id", "project_id", "explode(array(9L, 2L)) line_no", "'scan' phase", "concat('s', id) status", "timestamp'2024-01-01 10:00:00' ts", "'' job_id")
+    for status in ("concat(status, '-', line_no)", "'later'"):
+        writers.append_status(lines.withColumn("status", F.expr(status)), str(tmp_path / "log"))
+    log = readers.read_status_log(spark, str(tmp_path / "log")).where("project_id = '00007'").orderBy("line_no").collect()
+    assert [(r["line_no"], r["status"]) for r in log] == [(0, "s7-2"), (1, "s7-9"), (2, "later"), (3, "later")]
+    assert all(0 < count(name) < 20 for name in ("store", "docs", "reports", "log"))
