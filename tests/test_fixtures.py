@@ -431,3 +431,15 @@ def test_files_of_writers_follow_bytes(spark, tmp_path):
     log = readers.read_status_log(spark, str(tmp_path / "log")).where("project_id = '00007'").orderBy("line_no").collect()
     assert [(r["line_no"], r["status"]) for r in log] == [(0, "s7-2"), (1, "s7-9"), (2, "later"), (3, "later")]
     assert all(0 < count(name) < 20 for name in ("store", "docs", "reports", "log"))
+
+
+def test_merged_attributes_fold_equal_values_by_hash(spark):
+    """No task sorts all its attribute rows: the aggregate next to the rows is a hash aggregate; lists still count files."""
+    rows = [("p", f, "global", a, v) for f in range(6) for a, v in (("time_zone", f"z{f % 2}"), ("time_stamp", f"s{f}"), ("title", "t"))]
+    attrs = spark.createDataFrame(rows, "project_id string, file_ord int, scope string, attr string, value string")
+    out = at.merge_attrs(attrs)
+    plan = [x.strip() for x in out._jdf.queryExecution().sparkPlan().toString().splitlines()]
+    over_rows = [plan[k - 2 : k] for k, x in enumerate(plan) if "Scan ExistingRDD" in x]
+    assert over_rows and not any("SortAggregate" in x for near in over_rows for x in near)
+    got = {r["attr"]: r["value"] for r in out.collect()}
+    assert got == {"time_zone": '["z0","z1"]', "time_stamp": at.SEE_EACH, "title": "t"}
