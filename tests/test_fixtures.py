@@ -443,3 +443,15 @@ def test_merged_attributes_fold_equal_values_by_hash(spark):
     assert over_rows and not any("SortAggregate" in x for near in over_rows for x in near)
     got = {r["attr"]: r["value"] for r in out.collect()}
     assert got == {"time_zone": '["z0","z1"]', "time_stamp": at.SEE_EACH, "title": "t"}
+
+
+def test_large_stored_frames_are_not_broadcast(spark, monkeypatch):
+    """Files of a stored frame may be small where its rows are many; such a frame is never broadcast by their size."""
+    from gridrefs import storage
+
+    df = storage.stored(spark.range(2000).selectExpr("'p' project_id", "cast(id as int) file_ord"), "t")
+    joined = lambda x: df.join(x.where("file_ord >= 0"), ["project_id", "file_ord"])._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in joined(storage.shuffled_if_large(df))
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 1 << 10)
+    assert "SortMergeJoin" in joined(storage.shuffled_if_large(df))
+    assert "SortMergeJoin" in joined(storage.broadcast_if_small(df, F.lit(100), 1 << 10))
