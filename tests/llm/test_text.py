@@ -45,6 +45,23 @@ def test_decontamination_equals_brute_force(spark, limit, monkeypatch):
     assert sorted(map(tuple, decontam.remove_contaminated(docs, items).collect()), key=repr) == sorted(clean, key=repr)
 
 
+def test_copies_of_items_are_searched_once(spark, monkeypatch):
+    kept, real = {}, decontam.stored
+    monkeypatch.setattr(decontam, "stored", lambda df, name: kept.setdefault(name, real(df, name)))
+    item = " ".join(f"b{i}" for i in range(30))
+    docs = spark.createDataFrame([(0, f"start {item} end"), (1, "clean")], "doc_id long, text string")
+    got = decontam.contaminated(docs, spark.range(800).select(F.col("id").alias("item_id"), F.lit(item).alias("text"))).collect()
+    assert sorted(tuple(r) for r in got) == [(0, i, 1.0) for i in range(800)]
+    assert kept["benchmark-index"].count() == decontam.BLOCKS * 37  # values within two bits of one item's blocks
+
+
+def test_large_frames_are_not_broadcast(spark):
+    many = shared.stored(spark.range(0, shared.BROADCAST_ROWS + 1, numPartitions=1).select((F.col("id") % 9).alias("k"), F.lit("v").alias("v")), "test-many")
+    rows = spark.range(3).select(F.col("id").alias("k"))
+    plan = lambda df: rows.join(shared.maybe_broadcast(df), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(many) and "BroadcastHashJoin" in plan(many.where("k = 1"))
+
+
 def test_decontamination_of_nothing(odd_docs, no_docs, spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontam.contaminated(odd_docs, bench.where("false")).count() == 0
