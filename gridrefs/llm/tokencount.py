@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import TEXT_BATCH, by_bytes, open_fs, shared_folder, stored
+from .shared import BROADCAST_ROWS, TEXT_BATCH, by_bytes, open_fs, shared_folder, stored
 from .tokens import encoder
 
 #: Ids a block.
@@ -102,6 +102,8 @@ def count_separated(spark: SparkSession, files: DataFrame, folder: str, end_id:
         .withColumn("open_from", F.coalesce(F.max(F.when(F.col("seps") > 0, F.col("first") + F.col("n") - F.col("tail"))).over(before), F.lit(0)))
         .withColumn("is_last", F.col("block") == F.max("block").over(last))
     )
+    # A row a block is broadcast while blocks are few; lengths, a number a document, never are.
+    scan_of = F.broadcast(scan_of) if n_blocks <= BROADCAST_ROWS else scan_of.hint("merge")
     joined = found.select("path", "block", "lengths").join(scan_of, ["path", "block"])
     closed = joined.select("path", "docs_before", "first", "open_from", F.posexplode("lengths").alias("k", "len"), "lengths").select(
         "path",
@@ -121,4 +123,5 @@ def token_counts(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
     """Write the documents to flat files, count their tokens from the files, return doc_id and n_tokens."""
     files, order, folder, width = write_flat(docs, tokenizer, end_id, id_col, text_col)
     counts = count_separated(docs.sparkSession, files, folder, end_id, width)
-    return order.join(counts, ["path", "ordinal"]).select("doc_id", "n_tokens")
+    # Both sides have a row a document; Spark would broadcast one of them, as their stored files are small.
+    return order.hint("merge").join(counts.hint("merge"), ["path", "ordinal"]).select("doc_id", "n_tokens")

@@ -67,6 +67,13 @@ def test_token_counts(spark, odd_docs, no_docs, plain):
     assert tokencount.token_counts(no_docs, BPE, 50256).count() == 0
 
 
+def test_rows_of_documents_are_not_broadcast(spark, odd_docs):
+    plan = tokencount.token_counts(odd_docs, BPE, 50256)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x]
+    assert joins and all("[path" in x and "block" in x and "BuildRight" in x for x in joins), joins  # only rows of blocks are
+
+
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
 def test_separators_across_blocks(spark, block):
     lengths = [1, 1, 9, 30, 2, 1, 17, 4]
