@@ -94,6 +94,23 @@ def test_combine(spark, rows):
     assert json.loads(doc[".zgroup"]) == {"zarr_format": 2}
 
 
+def test_combined_references_are_made_once(spark, rows):
+    done = workloads.combine(rows, _cells(spark, {(i, "time"): [i] for i in range(8)}))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan(done.refs) and "from_json" not in plan(done.refs)
+
+
+def test_offsets_of_places_need_one_shuffle_more_than_their_join(spark):
+    meta = spark.createDataFrame([("p", f, "v", ["x", "time"], [4, f + 1], [4, 1]) for f in range(4)], "project_id string, file_ord int, var string, dims array<string>, shape array<int>, chunks array<int>")
+    places = spark.createDataFrame([("p", f, "time", 3 - f) for f in range(4)], "project_id string, file_ord int, dim string, place int")
+    offsets = cb.place_offsets(meta, places)
+    starts = {r["file_ord"]: r["starts"] for r in offsets.collect()}
+    assert starts == {3: {1: 0}, 2: {1: 4}, 1: {1: 7}, 0: {1: 9}}
+    assert {r["file_ord"]: r["starts"] for r in cb.line_offsets(cb.axis_places(meta, places)).collect()} == starts
+    plan = offsets.hint("merge")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4, plan  # two of the join, one of the windows, one that counts dims
+
+
 def test_a_reference_without_an_array_is_kept_and_reported(spark, rows):
     odd = rows.where("not (key = 'rain/.zarray' and file_ord = 3)")
     done = workloads.combine(odd, _cells(spark, {(i, "time"): [i] for i in range(8)}))
